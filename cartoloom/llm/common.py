@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that a kernel takes at once; bounds a worker's memory, never the text that is handled.
@@ -179,3 +180,14 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray
     """Sorted distinct hashes of each text's k-word shingles (A-Z folded, words between white space), and set sizes."""
     starts, lengths, per_text = word_spans(data, offs, SPACED)
     return distinct_sets(*gram_hashes(word_hashes(data, starts, lengths, FOLDED_VALUES), per_text, k))
+
+
+def one_per_id(docs: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value) with one row for each key: where a key repeats, its smallest non-null value.
+
+    Only the key column is read to find out whether any repeats; if none does, rows pass unchanged and unshuffled.
+    """
+    docs = docs.select(F.col(key).cast("long").alias(key), F.col(value))
+    if docs.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        return docs
+    return docs.groupBy(key).agg(F.min(value).alias(value))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Staging, chunks, mix, shingle_sets, string_parts, table
+from .common import U64, Staging, chunks, mix, one_per_id, shingle_sets, string_parts, table
 from .components import components
 
 #: Positions of a signature; prime, so that every (start, step) walks all positions once.
@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent:
     So every candidate pair is either verified or already joined by verified links, and no pairs within a group
     of near copies are written out. Repeated doc_ids count once, with their smallest text; other columns are ignored.
     """
-    docs = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("text").alias("text")) if _repeats(docs) else docs.select("doc_id", "text")
+    docs = one_per_id(docs, "doc_id", "text")
     signed = staging.save(signatures(docs, words, percent), "signed")
     classes = staging.save(signed.where("n > 0").groupBy("k0", "k1", "n").agg(F.min("doc_id").alias("rep")), "classes")
     reps = signed.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
@@ -181,11 +181,6 @@ def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether a doc_id occurs twice; ids alone are read."""
-    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
-
-
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose 3-word shingle sets have a similarity of 85 % or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), Staging(spark, "op1"), words=3, percent=85)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from . import decontaminate, topk
+from .decontaminate import op9_decontaminate
 from .near_dedup import op1_near_dedup
+from .topk import op6_exact_top_k
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup,)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op6_exact_top_k, op9_decontaminate)}
+ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": topk.SQL, "op9_decontaminate": decontaminate.SQL}
