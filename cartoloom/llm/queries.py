@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from . import decontaminate, topk
 from .decontaminate import op9_decontaminate
+from .langid import op8_language_id
 from .near_dedup import op1_near_dedup
+from .pii import op3_personal_data
 from .topk import op6_exact_top_k
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op6_exact_top_k, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_personal_data, op6_exact_top_k, op8_language_id, op9_decontaminate)}
 ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": topk.SQL, "op9_decontaminate": decontaminate.SQL}
