@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, Staging, chunks, mix, one_per_id, shingle_sets, string_parts, table
-from .components import components
+from .components import components, union_find
 
 #: Positions of a signature; prime, so that every (start, step) walks all positions once.
 POSITIONS = 127
@@ -135,6 +135,92 @@ def _alike(percent: int) -> str:
     return f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND {POSITIONS} - ({differ}) >= {least_equal(percent)}"
 
 
+#: Rows of a block, least; a group with more rows is dealt out over 64 blocks of each side, more with long texts.
+BLOCK, BLOCKS, BLOCK_BYTES = 128, 64, 16 << 20
+
+
+def _dealt(rows: DataFrame, key: str, stray: str, weight: str) -> DataFrame:
+    """Rows of each group ``key`` dealt to tasks (key, i, j): strays to block i of all j, all rows to block j of all i.
+
+    Any stray and any other row of its group meet in exactly one task, and no task holds more than two blocks.
+    """
+    size = rows.groupBy(key).agg(F.count(F.lit(1)).alias("m"), F.sum(F.expr(f"cast({stray} as long)")).alias("s"), F.sum(weight).alias("w"))
+    each = F.greatest(F.lit(BLOCK), F.ceil(F.col("m") / BLOCKS))
+    parts = F.greatest(F.ceil(F.col("m") / each), F.ceil(F.col("w") / BLOCK_BYTES))
+    size = size.where("s > 0").select(key, parts.cast("int").alias("nj"), F.greatest(F.lit(1), F.ceil(parts * F.col("s") / F.col("m"))).cast("int").alias("ni"))
+    both = rows.join(size, key)
+    deal = F.xxhash64("doc_id")
+    left = both.where(stray).withColumn("i", F.pmod(deal, F.col("ni")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)))
+    right = both.withColumn("j", F.pmod(deal, F.col("nj")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)))
+    return left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).drop("ni", "nj")
+
+
+def _forest(a: list[np.ndarray], b: list[np.ndarray]) -> pa.Table:
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    ids, roots = union_find(a, b)
+    moved = ids != roots
+    return pa.table({"a": roots[moved], "b": ids[moved]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def families(named: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket and have members alike enough by size and codes.
+
+    named: band, doc_id, root, n and codes. Only buckets of several components are read, and not those of two rows,
+    which have been compared; strays are the members outside a bucket's largest component.
+    """
+    home = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("c").alias("m"))
+    rows = named.join(home.where("roots > 1 AND m > 2").select("band", F.col("top.root").alias("home")), "band").withColumn("one", F.lit(1))
+    enough = least_equal(percent)
+
+    def search(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        col = {c: table.column(c).to_numpy() for c in ("root", "n", *_CODES)}
+        x, y = ({c: v[side == k] for c, v in col.items()} for k in (0, 1))
+        a, b = [], []
+        for lo in range(0, len(x["n"]), 64):
+            own = {c: v[lo : lo + 64, None] for c, v in x.items()}
+            differ = sum(np.bitwise_count(((own[p] ^ y[p]) | (own[q] ^ y[q])).view(np.uint64)).astype(np.int16) for p, q in (("s0", "s1"), ("s2", "s3")))
+            like = (POSITIONS - differ >= enough) & (own["root"] != y["root"]) & (100 * np.minimum(own["n"], y["n"]) >= percent * np.maximum(own["n"], y["n"]))
+            at, to = np.nonzero(like)
+            a.append(x["root"][lo + at])
+            b.append(y["root"][to])
+        return _forest(a, b)
+
+    dealt = _dealt(rows.withColumn("stray", F.col("root") != F.col("home")), "band", "stray", "one")
+    return dealt.groupBy("band", "i", "j").applyInArrow(search, "a long, b long").distinct()
+
+
+def cross_links(of: DataFrame, docs: DataFrame, staging: Staging, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between components of one family, by their members' full sets. of: doc_id, root, grp."""
+    of = staging.save(of, "of")
+    home = of.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("grp").agg(F.max(F.struct("c", "root")).alias("top"))
+    rows = of.join(home.select("grp", F.col("top.root").alias("home")), "grp").join(docs.select("doc_id", "text", F.octet_length("text").alias("bytes")), "doc_id")
+    rows = rows.withColumn("stray", F.col("root") != F.col("home"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        side, root = table.column("side").to_numpy(), table.column("root").to_numpy()
+        sets, sizes = shingle_sets(*string_parts(table.column("text")), words)
+        universe, items = np.unique(sets, return_inverse=True)
+        first = np.cumsum(sizes) - sizes
+        right = np.flatnonzero((side == 1) & (sizes > 0))
+        flat = np.concatenate([items[first[r] : first[r] + sizes[r]] for r in right]) if len(right) else items[:0]
+        starts = np.cumsum(sizes[right]) - sizes[right]
+        mark = np.zeros(len(universe), np.int32)
+        a, b = [], []
+        for x in np.flatnonzero((side == 0) & (sizes > 0)) if len(right) else ():
+            own = items[first[x] : first[x] + sizes[x]]
+            mark[own] = 1
+            shared = np.add.reduceat(mark[flat], starts)
+            mark[own] = 0
+            hit = (100 * shared >= percent * (sizes[x] + sizes[right] - shared)) & (root[right] != root[x])
+            b.append(root[right][hit])
+            a.append(np.full(len(b[-1]), root[x]))
+        return _forest(a, b)
+
+    dealt = _dealt(rows, "grp", "stray", "bytes").select("grp", "i", "j", "side", "root", "text")
+    return dealt.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of documents (doc_id, text).
 
@@ -144,11 +230,14 @@ def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent:
     group of copies costs one row whatever its size. Representatives that share a band are candidates:
 
     1. each is compared with the smallest of its bucket, and links are grouped;
-    2. buckets that still hold more than one component compare every member outside the largest component with all
-       members of other components, by equi-joins on bucket and size class under the estimate of similarity.
-
-    So every candidate pair is either verified or already joined by verified links, and no pairs within a group
-    of near copies are written out. Repeated doc_ids count once, with their smallest text; other columns are ignored.
+    2. buckets that still hold more than one component are searched, in blocks, for pairs of components whose codes
+       agree enough to hide a link; these make families of components;
+    3. within each family, again in blocks, the full sets of what its largest component lacks are compared with
+       those of all members of other components, and links go to the grouping.
+
+    So every candidate pair is either verified or already joined by verified links, and tasks hand on no more rows
+    than they read: a forest of links, not the pairs of a group. Repeated doc_ids count once, with their smallest
+    text; other columns are ignored.
     """
     docs = one_per_id(docs, "doc_id", "text")
     signed = staging.save(signatures(docs, words, percent), "signed")
@@ -158,22 +247,20 @@ def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent:
     shared = member.groupBy("band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("other")).where("hub < other").select("band", "hub")
     member = staging.save(member.join(shared, "band"), "member")
     size = signed.select("doc_id", "n", *_CODES)
-    ratio = math.log(100 / percent) if percent < 100 else 1e-9
     stars = member.where("hub <> doc_id").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = stars.join(size.alias("x"), F.expr("x.doc_id = a")).join(size.alias("y"), F.expr("y.doc_id = b")).where(_alike(percent)).select("a", "b")
     stars = staging.save(stars, "stars")
     links = staging.save(verified(stars, docs, words, percent), "links1")
     roots = components(links, staging, "first")
     named = member.join(roots, F.col("doc_id") == F.col("node"), "left").select("band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    home = named.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band").agg(F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("roots"))
-    home = home.where("roots > 1").select("band", F.col("top.root").alias("home"))
-    opened = named.join(home, "band").join(size, "doc_id").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)))
-    opened = staging.save(opened, "opened")
-    strays = opened.where("root <> home").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
-    meet = F.expr("x.band = y.band AND x.class = y.class AND x.root <> y.root AND (y.root = y.home OR x.doc_id < y.doc_id) AND " + _alike(percent))
-    pairs = strays.alias("x").join(opened.alias("y"), meet).select(F.expr("least(x.doc_id, y.doc_id)").alias("a"), F.expr("greatest(x.doc_id, y.doc_id)").alias("b")).distinct()
-    pairs = staging.save(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = staging.save(verified(pairs, docs, words, percent), "links2")
+    family = staging.save(families(named.join(size, "doc_id"), percent), "family")
+    if family.isEmpty():
+        more = links.limit(0)
+    else:
+        group = components(family, staging, "family").withColumnRenamed("root", "grp").withColumnRenamed("node", "root")
+        of = signed.select("doc_id").join(classes, F.col("doc_id") == F.col("rep"), "left_semi").join(roots, F.col("doc_id") == F.col("node"), "left")
+        of = of.select("doc_id", F.coalesce("root", "doc_id").alias("root")).join(group, "root")
+        more = staging.save(cross_links(of, docs, staging, words, percent), "links2")
     stem = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(stem.union(more), staging, "last") if not more.isEmpty() else roots
     found = signed.select("doc_id", "n", "k0", "k1").join(classes.withColumnRenamed("n", "cn"), (signed.k0 == classes.k0) & (signed.k1 == classes.k1) & (F.col("n") == F.col("cn")), "left")
