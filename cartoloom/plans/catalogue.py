@@ -1,4 +1,6 @@
 """Collects the queries of all plan modules."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import features, networks, places, publishing, rasters, sequences, tiling  # noqa: F401
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
