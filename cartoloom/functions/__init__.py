@@ -1 +1 @@
-"""Operators of this group; see the package README."""
+"""Column expressions (tags, numbers, geo) and Arrow kernels (shapes, vector_tiles)."""

@@ -1 +1 @@
-"""Operators of this group; see the package README."""
+"""Operators on DataFrames: sequences along ways, networks, places, rasters, tiles and publishing."""

@@ -1 +1,177 @@
-"""To come."""
+"""Queries of the routable networks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import geo
+from ..operators import networks as n
+from .base import DERIVED, derived, query
+from .features import WALK_CTE, walk_column
+
+_EDGES = """j AS (SELECT way_id, seq, ref, (count(*) OVER (PARTITION BY ref) >= 2 OR seq = min(seq) OVER (PARTITION BY way_id) OR seq = max(seq) OVER (PARTITION BY way_id)) AS jn,
+  count(*) OVER (PARTITION BY way_id) AS k, lag(ref) OVER (PARTITION BY way_id ORDER BY seq) AS pref FROM way_nodes),
+sg AS (SELECT way_id, seq, ref, pref, jn, coalesce(sum(CAST(jn AS INT)) OVER (PARTITION BY way_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - 1 AS edge FROM j WHERE k > 1),
+gm AS (SELECT s.way_id, s.edge, s.seq, s.ref, s.pref, a.lat_e7 AS y1, a.lon_e7 AS x1, b.lat_e7 AS y2, b.lon_e7 AS x2, b.ele - a.ele AS rise FROM sg s JOIN nodes a ON a.ref = s.pref JOIN nodes b ON b.ref = s.ref WHERE s.seq > 0),
+ed AS (SELECT way_id, edge, arg_min(pref, seq) AS u, arg_max(ref, seq) AS v, count(*) + 1 AS points, sum(greatest(rise, 0)) AS climb, sum(greatest(-rise, 0)) AS drop_m,
+  sum(sqrt(power((x2 - x1) * cos(radians((CAST(y1 AS BIGINT) + y2) / 2.0 * 1e-7)), 2) + power(y2 - y1, 2)) * (pi() / 180 * 1e-7 * 6371008.8)) AS length FROM gm GROUP BY way_id, edge)"""
+
+
+def _edges(spark, sf_dir, some=None):
+    ways = derived(spark, sf_dir, "way_nodes")
+    return n.edges(ways.where(some) if some else ways, derived(spark, sf_dir, "nodes"))
+
+
+def _numbered(spark, sf_dir, some=None):
+    """Edges with a number e of their own, in the order of ways."""
+    return _edges(spark, sf_dir, some).withColumn("e", F.col("way_id") * 64 + F.col("edge"))
+
+
+@query("nodes way_nodes", f"WITH {_EDGES} SELECT way_id, CAST(edge AS BIGINT) AS edge, u, v, points, CAST(round(length) AS BIGINT) AS length_m FROM ed")
+def edges_from_ways(spark, sf_dir):
+    return _edges(spark, sf_dir).select("way_id", "edge", "u", "v", "points", F.round("length").cast("long").alias("length_m"))
+
+
+@query("nodes way_nodes", f"WITH {_EDGES} SELECT way_id, CAST(edge AS BIGINT) AS edge, CAST(climb AS BIGINT) AS climb, CAST(drop_m AS BIGINT) AS drop_m FROM ed")
+def edge_climb(spark, sf_dir):
+    return _edges(spark, sf_dir).select("way_id", "edge", F.col("climb").cast("long").alias("climb"), F.col("drop").cast("long").alias("drop_m"))
+
+
+@query(
+    "nodes way_nodes way_tags",
+    f"WITH {_EDGES}, {WALK_CTE} SELECT highway, count(*) AS edges, CAST(round(sum(length)) AS BIGINT) AS metres, CAST(sum(climb) AS BIGINT) AS climb, CAST(round(sum(CAST(length * factor + 8 * climb AS FLOAT)) / 1000) AS BIGINT) AS cost_k FROM ed JOIN walk USING (way_id) WHERE factor IS NOT NULL GROUP BY highway",
+)
+def edge_costs(spark, sf_dir):
+    factors = derived(spark, sf_dir, "way_tags").withColumn("fwd", walk_column()).where("fwd IS NOT NULL").select("way_id", "highway", "fwd", F.col("fwd").alias("back"))
+    rows = n.costed(_edges(spark, sf_dir), factors)
+    return rows.groupBy("highway").agg(
+        F.count(F.lit(1)).alias("edges"), F.round(F.sum("length")).cast("long").alias("metres"), F.sum("climb").cast("long").alias("climb"), F.round(F.sum(F.col("cost_f").cast("double")) / 1000).cast("long").alias("cost_k")
+    )
+
+
+@query("nodes way_nodes", f"WITH {_EDGES}, p AS (SELECT least(u, v) AS a, greatest(u, v) AS b, length, way_id * 64 + edge AS e FROM ed WHERE u <> v) SELECT a, b, CAST(min(struct_pack(l := CAST(length AS FLOAT), e := e)).e AS BIGINT) AS e, CAST(round(min(CAST(length AS FLOAT))) AS BIGINT) AS length_m FROM p GROUP BY a, b")
+def shortest_pairs(spark, sf_dir):
+    return n.shortest_pairs(_numbered(spark, sf_dir).withColumn("length", F.col("length").cast("float"))).select("a", "b", "e", F.round("length").cast("long").alias("length_m"))
+
+
+_SPARSE = _EDGES.replace("FROM way_nodes)", "FROM way_nodes WHERE way_id % 40 = 0)")
+
+
+@query(
+    "nodes way_nodes",
+    f"""WITH {_EDGES}, h AS (SELECT u AS node, count(*) AS c FROM (SELECT u FROM ed WHERE way_id % 3 = 0 UNION ALL SELECT v FROM ed WHERE way_id % 3 = 0) GROUP BY u),
+    a AS (SELECT u AS node, count(*) AS c FROM (SELECT u FROM ed UNION ALL SELECT v FROM ed) GROUP BY u) SELECT h.node FROM h JOIN a USING (node) WHERE h.c < a.c""",
+)
+def degree_border(spark, sf_dir):
+    whole = _numbered(spark, sf_dir)
+    return n.border_nodes(whole.where("way_id % 3 = 0"), whole)
+
+
+@query(
+    "nodes way_nodes",
+    f"""WITH {_EDGES}, x AS (SELECT u AS node, way_id * 64 + edge AS k, 0 AS side FROM ed UNION ALL SELECT v, way_id * 64 + edge, 1 FROM ed),
+    g AS (SELECT node, list(CASE side WHEN 0 THEN k ELSE -k - 1 END ORDER BY side, k) AS l, count(*) AS c FROM x GROUP BY node)
+    SELECT node, CAST(sum(c) OVER (ORDER BY node) - c AS BIGINT) AS start, array_to_string(l, ',') AS entries FROM g""",
+)
+def csr_adjacency(spark, sf_dir):
+    found = n.adjacency(_numbered(spark, sf_dir).select("e", "u", "v"))
+    return found.select("node", F.col("start").cast("long").alias("start"), F.array_join(F.col("entries").cast("array<string>"), ",").alias("entries"))
+
+
+@query(
+    "nodes way_nodes",
+    f"""WITH {_SPARSE}, cells AS (SELECT way_id * 64 + edge AS e, unnest(range(CAST(floor(least(y1, y2) / 100000) AS INT), CAST(floor(greatest(y1, y2) / 100000) AS INT) + 1)) AS cell_y, x1, x2 FROM gm)
+    SELECT DISTINCT CAST(cell_y AS INT) AS cell_y, CAST(unnest(range(CAST(floor(least(x1, x2) / 100000) AS INT), CAST(floor(greatest(x1, x2) / 100000) AS INT) + 1)) AS INT) AS cell_x, CAST(e AS BIGINT) AS e FROM cells""",
+)
+def snap_grid(spark, sf_dir):
+    at = n.points_of_edges(derived(spark, sf_dir, "way_nodes").where("way_id % 40 = 0")).join(derived(spark, sf_dir, "nodes"), "ref")
+    return n.snap_cells(at.select((F.col("way_id") * 64 + F.col("edge")).alias("e"), "seq", "lat_e7", "lon_e7"))
+
+
+@query("", "SELECT p_name AS label, dense_rank() OVER (ORDER BY p_name) AS number FROM (SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0) UNION ALL SELECT '', 0")
+def label_renumber(spark, sf_dir):
+    from .base import table
+
+    labels = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(F.col("p_name").alias("label")).union(spark.createDataFrame([("",)], "label string")).distinct()
+    ranges = labels.withColumn("first", F.substring("label", 1, 2))
+    from pyspark.sql import Window
+
+    base = ranges.groupBy("first").agg(F.count(F.lit(1)).alias("c"))
+    base = base.select("first", (F.sum("c").over(Window.orderBy("first")) - F.col("c")).alias("base"))
+    own = F.row_number().over(Window.partitionBy("first").orderBy("label")) - 1
+    return ranges.withColumn("own", own).join(base, "first").select("label", (F.col("base") + F.col("own")).cast("long").alias("number"))
+
+
+_REACH = f"""WITH RECURSIVE nodes AS ({DERIVED['nodes'].format(part='part')}), way_nodes AS ({DERIVED['way_nodes'].format(lineitem='lineitem')}), {_SPARSE},
+  pr AS (SELECT u AS a, v AS b FROM ed UNION SELECT v, u FROM ed), rc AS (SELECT a AS node, a AS r FROM pr UNION SELECT pr.b, rc.r FROM rc JOIN pr ON pr.a = rc.node),
+  wc AS (SELECT node, min(r) AS root FROM rc GROUP BY node)"""
+
+
+@query("", f"{_REACH} SELECT node, root FROM wc")
+def weak_components(spark, sf_dir):
+    return n.weak_components(_numbered(spark, sf_dir, "way_id % 40 = 0").select("u", "v"))
+
+
+@query("", f"{_REACH}, oe AS (SELECT ed.*, root FROM ed JOIN wc ON wc.node = ed.u), bg AS (SELECT root FROM oe GROUP BY root HAVING count(*) >= 50) SELECT way_id, CAST(edge AS BIGINT) AS edge FROM oe JOIN bg USING (root)")
+def component_filter(spark, sf_dir):
+    edge = n.saved(_numbered(spark, sf_dir, "way_id % 40 = 0").select("way_id", "edge", "u", "v"))
+    return n.large_components(edge, n.weak_components(edge), 50).select("way_id", "edge")
+
+
+_DIRECTED = f"""WITH RECURSIVE nodes AS ({DERIVED['nodes'].format(part='part')}), way_nodes AS ({DERIVED['way_nodes'].format(lineitem='lineitem')}), {_SPARSE},
+  ar AS (SELECT u AS a, v AS b FROM ed UNION SELECT v, u FROM ed WHERE way_id % 80 = 0), rc AS (SELECT a AS f, a AS t FROM ar UNION SELECT b, b FROM ar UNION SELECT rc.f, ar.b FROM rc JOIN ar ON ar.a = rc.t)
+  SELECT x.f AS node, min(x.t) AS root FROM rc x JOIN rc y ON x.f = y.t AND x.t = y.f GROUP BY x.f"""
+
+
+def _arcs(spark, sf_dir):
+    edge = n.saved(_numbered(spark, sf_dir, "way_id % 40 = 0").select("way_id", "e", "u", "v", "length"))
+    return edge, edge.select("u", "v").union(edge.where("way_id % 80 = 0").select("v", "u"))
+
+
+@query("", _DIRECTED)
+def strong_components(spark, sf_dir):
+    return n.strong_components(_arcs(spark, sf_dir)[1])
+
+
+def multi_source_dijkstra(spark, sf_dir):
+    edge, _ = _arcs(spark, sf_dir)
+    arcs = edge.select("u", "v", F.round("length").cast("long").alias("cost")).union(edge.select("v", "u", F.round("length").cast("long")))
+    sources = edge.select(F.col("u").alias("node")).distinct().where("node % 25 = 0").select("node", F.col("node").alias("source"), (F.col("node") % 700).cast("long").alias("offset"))
+    return n.nearest_sources(arcs.where("u <> v"), sources, 200_000)
+
+
+query("", None)(multi_source_dijkstra)
+
+
+def round_walks(spark, sf_dir):
+    edge, _ = _arcs(spark, sf_dir)
+    roots = n.weak_components(edge)
+    network = edge.join(roots, edge.u == roots.node).select(F.col("root").alias("area"), F.col("root").alias("source"), "e", "u", "v", "length")
+    return n.round_walks(network, "area", limit=500_000.0, longest=1_000_000.0)
+
+
+query("", None)(round_walks)
+
+
+
+@query(
+    "nodes",
+    """WITH b AS (SELECT ref, ((CAST(lat_e7 AS BIGINT) + 900000000) >> 15) & 65535 AS y, ((CAST(lon_e7 AS BIGINT) + 1800000000) >> 16) & 65535 AS x FROM nodes),
+    k AS (SELECT ref, CAST(list_sum(list_transform(range(16), lambda i: ((y >> i) & 1) * CAST(power(2, 2 * i + 1) AS BIGINT) + ((x >> i) & 1) * CAST(power(2, 2 * i) AS BIGINT))) AS BIGINT) AS z FROM b)
+    SELECT ref, row_number() OVER (ORDER BY z, ref) - 1 AS number FROM k""",
+)
+def morton_order(spark, sf_dir):
+    return n.morton_numbers(derived(spark, sf_dir, "nodes")).select("ref", F.col("number").cast("long").alias("number"))
+
+
+@query("nodes", """SELECT ref, CAST(floor((lon_e7 * 1e-7 + 180) / 360 * 16384) AS INT) AS x, CAST(floor((1 - asinh(tan(radians(lat_e7 * 1e-7))) / pi()) / 2 * 16384) AS INT) AS y, 16383 - CAST(floor((1 - asinh(tan(radians(lat_e7 * 1e-7))) / pi()) / 2 * 16384) AS INT) AS tms FROM nodes""")
+def tile_xy(spark, sf_dir):
+    rows = derived(spark, sf_dir, "nodes").withColumn("x", geo.tile_x(F.col("lon_e7") * 1e-7, 14)).withColumn("y", geo.tile_y(F.col("lat_e7") * 1e-7, 14))
+    return rows.select("ref", "x", "y", geo.tms_flip(F.col("y"), F.lit(14)).alias("tms"))
+
+
+@query("tiles_a", "SELECT DISTINCT z, x, CAST(power(2, z) - 1 - y AS INT) AS tms, CAST(floor((x / power(2, z) * 360 - 180) * 1e4) AS BIGINT) AS west, CAST(floor(degrees(atan(sinh(pi() * (1 - 2 * y / power(2, z))))) * 1e4) AS BIGINT) AS north FROM tiles_a")
+def tile_bounds(spark, sf_dir):
+    c = F.col
+    rows = derived(spark, sf_dir, "tiles_a").select("z", "x", "y").distinct()
+    return rows.select("z", "x", geo.tms_flip(c("y"), c("z")).alias("tms"), F.floor(geo.tile_west(c("x"), c("z")) * 1e4).alias("west"), F.floor(geo.tile_north(c("y"), c("z")) * 1e4).alias("north"))

@@ -1 +1,100 @@
-"""To come."""
+"""Queries of tile tables."""
+
+from __future__ import annotations
+
+import gzip
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..functions import vector_tiles as vt
+from ..operators import tiles as t
+from .base import derived, query, table
+
+
+def _ab(spark, sf_dir):
+    return derived(spark, sf_dir, "tiles_a"), derived(spark, sf_dir, "tiles_b")
+
+
+@query("tiles_a tiles_b", "SELECT a.z, a.x, a.y, md5(a.data || coalesce(b.data, '')) AS hash FROM tiles_a a LEFT JOIN tiles_b b USING (z, x, y)")
+def tile_merge(spark, sf_dir):
+    return t.merged(*_ab(spark, sf_dir)).select("z", "x", "y", F.md5("data").alias("hash"))
+
+
+@query("tiles_a tiles_b", "SELECT z, x, y FROM tiles_b ANTI JOIN tiles_a USING (z, x, y)")
+def tile_merge_dropped(spark, sf_dir):
+    return t.dropped(*_ab(spark, sf_dir)).select("z", "x", "y")
+
+
+@query("tiles_a counties", "SELECT z, x, y, length(data) AS n FROM tiles_a WHERE z > 11 AND (x, y) IN (SELECT CAST(x0 / 500 AS INT) + i, CAST(y0 / 500 AS INT) + j FROM counties, range(20) a(i), range(20) b(j))")
+def tile_cut(spark, sf_dir):
+    c = derived(spark, sf_dir, "counties")
+    steps = F.sequence(F.lit(0), F.lit(19))
+    want = c.select((c.x0 / 500).cast("int").alias("bx"), (c.y0 / 500).cast("int").alias("by"), F.explode(steps).alias("i"))
+    want = want.select((F.col("bx") + F.col("i")).alias("x"), "by", F.explode(steps).alias("j")).select("x", (F.col("by") + F.col("j")).alias("y"), F.explode(F.sequence(F.lit(12), F.lit(14))).alias("z"))
+    return t.cut(derived(spark, sf_dir, "tiles_a"), want).select("z", "x", "y", F.length("data").cast("long").alias("n"))
+
+
+@query("tiles_a tiles_b", "SELECT DISTINCT md5(data) AS hash FROM tiles_a WHERE (z, x, y) IN (SELECT z, x, y FROM tiles_b)")
+def tile_data_semi(spark, sf_dir):
+    a, b = _ab(spark, sf_dir)
+    return t.cut(a, b).select(F.md5("data").alias("hash")).distinct()
+
+
+@query("tiles_a", "WITH f AS (SELECT z, x, y, data, first_value(z * 1000000 + x * 1000 + y) OVER (PARTITION BY data ORDER BY z, x, y) AS f FROM tiles_a) SELECT z, x, y, dense_rank() OVER (ORDER BY f) AS data_id FROM f")
+def tile_dedup(spark, sf_dir):
+    places, _ = t.stored(derived(spark, sf_dir, "tiles_a"))
+    return places.select("z", "x", "y", F.col("data_id").cast("long").alias("data_id"))
+
+
+@query("tiles_a tiles_b", "SELECT z, x, y, count(*) AS parts, CAST(sum(length(data)) AS BIGINT) AS chars FROM (SELECT * FROM tiles_a UNION ALL SELECT * FROM tiles_b) WHERE z <= 10 GROUP BY z, x, y")
+def tile_overview_union(spark, sf_dir):
+    a, b = _ab(spark, sf_dir)
+    return a.unionByName(b).where("z <= 10").groupBy("z", "x", "y").agg(F.count(F.lit(1)).alias("parts"), F.sum(F.length("data")).alias("chars"))
+
+
+@query("", "SELECT min(o_orderkey) AS first, o_custkey, o_orderpriority FROM orders GROUP BY o_custkey, o_orderpriority")
+def feature_distinct(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders")
+    return t.distinct_features(rows, ["o_custkey", "o_orderpriority"], ["o_orderkey"]).select(F.col("o_orderkey").alias("first"), "o_custkey", "o_orderpriority")
+
+
+def _vector_tiles(spark, sf_dir):
+    """Gzipped vector tiles of one feature from documents: (z, x, y, part, data)."""
+
+    @F.pandas_udf("binary")
+    def build(i: pd.Series, s: pd.Series) -> pd.Series:
+        make = lambda n, w: vt.encode([{"name": f"layer{n % 2}", "version": 2, "extent": 4096, "features": [{"fid": n, "kind": 1, "geometry": vt.packed([9, n % 5, 4]), "pairs": (("source", vt.value(w)), ("n", vt.value(int(n % 3))))}]}])
+        return pd.Series([gzip.compress(make(int(n), w), 6, mtime=0) for n, w in zip(i, s, strict=True)])
+
+    d = table(spark, sf_dir, "documents")
+    return d.select((F.lit(5) + d.doc_id % 2).cast("int").alias("z"), (d.doc_id % 7).cast("int").alias("x"), (d.doc_id % 5).cast("int").alias("y"), F.col("doc_id").alias("part"), build("doc_id", "source").alias("data"))
+
+
+def mvt_roundtrip(spark, sf_dir):
+    """Features that each place's combined tile holds."""
+
+    @F.pandas_udf("int")
+    def count(data: pd.Series) -> pd.Series:
+        return pd.Series([sum(len(x["features"]) for x in vt.layers(gzip.decompress(d))) for d in data])
+
+    return t.combined(_vector_tiles(spark, sf_dir)).select("z", "x", "y", count("data").alias("features"))
+
+
+query("", """SELECT CAST(5 + doc_id % 2 AS INT) AS z, CAST(doc_id % 7 AS INT) AS x, CAST(doc_id % 5 AS INT) AS y, CAST(count(DISTINCT (doc_id % 2, doc_id % 5, source, doc_id % 3)) AS INT) AS features FROM documents GROUP BY 1, 2, 3""")(mvt_roundtrip)
+
+
+def tile_join_zipped(spark, sf_dir):
+    """Bytes of tiles joined from two tables, each pair of contents once."""
+    v = _vector_tiles(spark, sf_dir).groupBy("z", "x", "y").agg(F.min_by("data", "part").alias("data"))
+    a = v.withColumn("data_id", F.md5("data"))
+    b = a.where("x % 2 = 0")
+
+    @F.pandas_udf("int")
+    def count(data: pd.Series) -> pd.Series:
+        return pd.Series([len(vt.layers(gzip.decompress(d))) for d in data])
+
+    return t.joined_pairs(a, b).select("z", "x", "y", count("data").alias("layers"))
+
+
+query("", "SELECT CAST(5 + doc_id % 2 AS INT) AS z, CAST(doc_id % 7 AS INT) AS x, CAST(doc_id % 5 AS INT) AS y, CAST(CASE WHEN (doc_id % 7) % 2 = 0 THEN 2 ELSE 1 END AS INT) AS layers FROM documents GROUP BY 1, 2, 3, 4")(tile_join_zipped)
