@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 LINE = "array<struct<x:double,y:double>>"
 
@@ -141,6 +142,6 @@ def clip(x0: float, y0: float, x1: float, y1: float):
     return run
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def to_wkb(lines: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else line_wkb(_array(x)) for x in lines])
