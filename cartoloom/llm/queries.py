@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, substring_dedup, topk
+from . import decontaminate, near_dedup, substring_dedup, topk
 from .decontaminate import op9_decontaminate
 from .html import op10_main_text
 from .katz import op4_katz_scores
@@ -28,6 +28,7 @@ QUERIES = {
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_dedup": near_dedup.SQL,
     "op6_exact_top_k": topk.SQL,
     "op7_substring_dedup": substring_dedup.SQL,
     "op9_decontaminate": decontaminate.SQL,
