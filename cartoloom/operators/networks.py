@@ -8,7 +8,7 @@ import uuid
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, numbers
@@ -242,6 +242,76 @@ def round_walks(network: DataFrame, group: str, limit: float = 5000.0, longest:
     return network.groupBy(group).applyInPandas(walks, schema)
 
 
+def best_walks(network: DataFrame, group: str, access: float = 0.0, limit: float = 5000.0, longest: float = 10_000.0, most_shared: float = 0.4, off_share: float = 0.8) -> DataFrame:
+    """(e, walk, popular, off, both): metres of the shortest round walk through each edge, of all sources, and of those
+    that come back on popular edges, that are off the roads for ``off_share`` of their round, or both.
+
+    network: group, source, e, u, v, length, popular, offroad. As round_walks, with the way to the source counted as
+    ``access``; each group hands on one row for each edge and walk that it lies on, and the least are taken after.
+    """
+    schema = "e long, metres double, popular boolean, off boolean"
+
+    def walks(table: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        source = int(table["source"].iloc[0])
+        about = {e: (u, v, length, bool(p), bool(o)) for e, u, v, length, p, o in table[["e", "u", "v", "length", "popular", "offroad"]].itertuples(index=False)}
+        links = defaultdict(list)
+        for e, (u, v, length, _, _) in about.items():
+            links[u].append((v, length, e))
+            links[v].append((u, length, e))
+        dist, parent, queue = {source: 0.0}, {source: (None, None)}, [(0.0, source)]
+        while queue:
+            d, n = heapq.heappop(queue)
+            if d > dist[n]:
+                continue
+            for m, length, e in sorted(links[n]):
+                if d + length <= limit and d + length < dist.get(m, float("inf")):
+                    dist[m], parent[m] = d + length, (n, e)
+                    heapq.heappush(queue, (d + length, m))
+        tree = {e for _, e in parent.values()}
+
+        def down_to(n, stop):
+            side = []
+            while n != stop:
+                side.append(parent[n][1])
+                n = parent[n][0]
+            return side
+
+        for e, (u, v, length, liked, off) in sorted(about.items()):
+            if e in tree or u == v or u not in dist or v not in dist:
+                continue
+            above, n = set(), u
+            while n is not None:
+                above.add(n)
+                n = parent[n][0]
+            meet = v
+            while meet not in above:
+                meet = parent[meet][0]
+            metres = dist[u] + dist[v] + length + 2 * access
+            if metres > longest or 2 * (dist[meet] + access) > most_shared * metres:
+                continue
+            a, b = down_to(u, meet), down_to(v, meet)
+            home = {k: all(about[x][3] for x in down_to(k, source)) for k in (u, v)}
+            round_off = sum(about[x][2] for x in a + b if about[x][4]) + (length if off else 0)
+            apart = round_off / max(metres - 2 * access, 1) >= off_share
+            out.append((e, metres, home[u] or home[v], apart))
+            out += [(x, metres, home[v] and liked, apart) for x in a] + [(x, metres, home[u] and liked, apart) for x in b]
+        return pd.DataFrame(out, columns=["e", "metres", "popular", "off"])
+
+    found = network.groupBy(group).applyInPandas(walks, schema)
+    least = lambda when: F.min(F.when(when, F.col("metres")))
+    return found.groupBy("e").agg(F.min("metres").alias("walk"), least(F.col("popular")).alias("popular"), least(F.col("off")).alias("off"), least(F.col("popular") & F.col("off")).alias("both"))
+
+
+def gaps_between_walked(ways: DataFrame, short: float) -> DataFrame:
+    """e, heat of ways (e, u, v, length, head, tail) that are not walked, no longer than ``short``, and have walked ways
+    at both ends: the lesser of the two ends' heats. Ways filled so fill no others."""
+    ends = ways.select(F.col("u").alias("node"), F.col("head").alias("heat")).union(ways.select("v", "tail")).where("heat > 0").groupBy("node").agg(F.max("heat").alias("heat"))
+    a, b = (ends.select(F.col("node").alias(k), F.col("heat").alias(f"h{k}")) for k in "uv")
+    open_ways = ways.where((F.col("head") == 0) & (F.col("tail") == 0) & (F.col("length") <= short))
+    return open_ways.join(a, "u").join(b, "v").select("e", F.least("hu", "hv").alias("heat"))
+
+
 def morton_numbers(nodes: DataFrame) -> DataFrame:
     """(ref, number): nodes numbered along the Z-order curve, those of a cell by ref.
 
@@ -253,6 +323,3 @@ def morton_numbers(nodes: DataFrame) -> DataFrame:
     own = F.row_number().over(Window.partitionBy("range").orderBy("z", "ref")) - 1
     return keyed.withColumn("own", own).join(base, "range").select("ref", (F.col("base") + F.col("own")).alias("number"))
 
-
-def coalesced(column: Column, value) -> Column:
-    return F.coalesce(column, F.lit(value))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geo
+
 
 def neighbours(grid: DataFrame, offsets: list[tuple[int, int]]) -> DataFrame:
     """r, c, near: for each cell that any of its neighbours points to, the map (dr * 16 + dc) -> v of those there are.
@@ -180,3 +182,83 @@ def smoothed(grid: DataFrame, sigma: float, block: int = 256) -> DataFrame:
         return pd.DataFrame({"r": table["r"][own], "c": table["c"][own], "v": top[r[own], c[own]] / weight[r[own], c[own]]})
 
     return rows.groupBy("br", "bc").applyInPandas(run, "r int, c int, v double")
+
+
+def painted(polygons: DataFrame) -> DataFrame:
+    """r, c, v: cells (by their centres) of polygons (place, value, rings in cells: the first outer, then holes).
+
+    Polygons are painted in the order of ``place``; the last that reaches a cell decides. A hole does not show what
+    lies under it: its cells are cleared.
+    """
+    box = lambda ring, k: (F.floor(F.array_min(F.transform(ring, lambda p: p[k]))).cast("int"), F.floor(F.array_max(F.transform(ring, lambda p: p[k]))).cast("int"))
+    (x0, x1), (y0, y1) = box(F.col("rings")[0], "x"), box(F.col("rings")[0], "y")
+    rows = polygons.withColumn("r", F.explode(F.sequence(y0, y1))).withColumn("c", F.explode(F.sequence(x0, x1)))
+    at = lambda ring: geo.in_ring(F.col("c") + 0.5, F.col("r") + 0.5, ring)
+    rows = rows.where(at(F.col("rings")[0])).withColumn("v", F.when(F.exists(F.slice("rings", 2, F.greatest(F.size("rings") - 1, F.lit(0))), at), F.lit(0)).otherwise(F.col("value")))
+    top = rows.groupBy("r", "c").agg(F.max(F.struct("place", "v")).alias("top"))
+    return top.select("r", "c", F.col("top.v").alias("v")).where("v <> 0")
+
+
+def blended(coarse: DataFrame, fine: DataFrame, half: int) -> DataFrame:
+    """r, c, v of a coarse grid, with a finer source laid over it where there is one, fading towards its edges.
+
+    The fine value's weight is the share of the cells round it, (2 * half + 1) squared, that the fine source has.
+    """
+    there = coarse.select("r", "c").join(fine.select("r", "c", F.lit(1.0).alias("one")), ["r", "c"], "left").select("r", "c", F.coalesce("one", F.lit(0.0)).alias("v"))
+    weight = box_smooth(there, half).withColumnRenamed("v", "w")
+    rows = coarse.join(fine.withColumnRenamed("v", "f"), ["r", "c"], "left").join(weight, ["r", "c"])
+    return rows.select("r", "c", F.when(F.col("f").isNull(), F.col("v").cast("double")).otherwise(F.col("w") * F.col("f") + (1 - F.col("w")) * F.col("v")).alias("v"))
+
+
+def thinned(mask: np.ndarray) -> np.ndarray:
+    """A mask worn down to lines one cell wide (Zhang and Suen)."""
+    grid = np.pad(mask.astype(bool), 1)
+    ring = [(-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1)]
+    while True:
+        gone = 0
+        for turn in (0, 1):
+            n = [np.roll(grid, (-dr, -dc), (0, 1)) for dr, dc in ring]
+            count = sum(x.astype(np.int8) for x in n)
+            steps = sum((~a & b).astype(np.int8) for a, b in zip(n, n[1:] + n[:1], strict=True))
+            a, b = ((n[0] & n[2] & n[4]), (n[2] & n[4] & n[6])) if turn == 0 else ((n[0] & n[2] & n[6]), (n[0] & n[4] & n[6]))
+            out = grid & (count >= 2) & (count <= 6) & (steps == 1) & ~a & ~b
+            gone += int(out.sum())
+            grid &= ~out
+        if not gone:
+            return grid[1:-1, 1:-1]
+
+
+def without_spurs(lines: np.ndarray, cells: int) -> np.ndarray:
+    """Lines with their ends taken off, a cell at a time, ``cells`` times."""
+    grid = np.pad(lines.astype(bool), 1)
+    for _ in range(cells):
+        count = sum(np.roll(grid, (dr, dc), (0, 1)).astype(np.int8) for dr, dc in RING)
+        ends = grid & (count <= 1)
+        if not ends.any():
+            break
+        grid &= ~ends
+    return grid[1:-1, 1:-1]
+
+
+def skeletons(mask: DataFrame, spur: int = 0) -> DataFrame:
+    """tile, r, c of the middle lines of each tile's mask (tile, r, c); a tile is a bounded group."""
+
+    def run(table: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = table["r"].min(), table["c"].min()
+        grid = np.zeros((table["r"].max() - r0 + 1, table["c"].max() - c0 + 1), bool)
+        grid[table["r"] - r0, table["c"] - c0] = True
+        r, c = np.nonzero(without_spurs(thinned(grid), spur))
+        return pd.DataFrame({"tile": table["tile"].iloc[0], "r": (r + r0).astype("int32"), "c": (c + c0).astype("int32")})
+
+    return mask.groupBy("tile").applyInPandas(run, "tile int, r int, c int")
+
+
+def cell_links(cells: DataFrame) -> DataFrame:
+    """(r, c, r2, c2): neighbouring cells, each pair once; a diagonal only where no way round its corner is there."""
+    steps = F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in ((0, 1), (1, 0), (1, 1), (1, -1))))
+    rows = cells.select("r", "c").withColumn("s", F.explode(steps)).select("r", "c", (F.col("r") + F.col("s.dr")).alias("r2"), (F.col("c") + F.col("s.dc")).alias("c2"))
+    there = lambda a, b: cells.select(F.col("r").alias(a), F.col("c").alias(b))
+    rows = rows.join(there("r2", "c2"), ["r2", "c2"], "left_semi")
+    straight = (F.col("r") == F.col("r2")) | (F.col("c") == F.col("c2"))
+    slant = rows.where(~straight).join(there("r", "c2"), ["r", "c2"], "left_anti").join(there("r2", "c"), ["r2", "c"], "left_anti")
+    return rows.where(straight).select("r", "c", "r2", "c2").unionByName(slant.select("r", "c", "r2", "c2"))

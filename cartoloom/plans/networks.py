@@ -175,3 +175,25 @@ def tile_bounds(spark, sf_dir):
     c = F.col
     rows = derived(spark, sf_dir, "tiles_a").select("z", "x", "y").distinct()
     return rows.select("z", "x", geo.tms_flip(c("y"), c("z")).alias("tms"), F.floor(geo.tile_west(c("x"), c("z")) * 1e4).alias("west"), F.floor(geo.tile_north(c("y"), c("z")) * 1e4).alias("north"))
+
+
+@query(
+    "nodes way_nodes",
+    f"""WITH {_EDGES}, w AS (SELECT way_id * 64 + edge AS e, u, v, length, CASE WHEN way_id % 3 = 0 THEN 0 ELSE way_id % 200 END AS heat FROM ed),
+    n AS (SELECT node, max(heat) AS heat FROM (SELECT u AS node, heat FROM w UNION ALL SELECT v, heat FROM w) WHERE heat > 0 GROUP BY node)
+    SELECT CAST(e AS BIGINT) AS e, least(a.heat, b.heat) AS heat FROM w JOIN n a ON a.node = u JOIN n b ON b.node = v WHERE w.heat = 0 AND length <= 12000""",
+)
+def short_gap_ways(spark, sf_dir):
+    heat = F.when(F.col("way_id") % 3 == 0, F.lit(0)).otherwise(F.col("way_id") % 200)
+    rows = _numbered(spark, sf_dir).select("e", "u", "v", "length", heat.alias("head"), heat.alias("tail"))
+    return n.gaps_between_walked(rows, 12_000.0)
+
+
+def best_walks(spark, sf_dir):
+    edge, _ = _arcs(spark, sf_dir)
+    roots = n.weak_components(edge)
+    rows = edge.join(roots, edge.u == roots.node).select(F.col("root").alias("area"), F.col("root").alias("source"), "e", "u", "v", "length", (F.col("e") % 3 > 0).alias("popular"), (F.col("e") % 5 > 0).alias("offroad"))
+    return n.best_walks(rows, "area", limit=500_000.0, longest=1_000_000.0)
+
+
+query("", None)(best_walks)

@@ -135,3 +135,48 @@ def grid_projection(spark, sf_dir):
 
 
 query("", None)(grid_projection)
+
+
+@query(
+    "counties",
+    """WITH p AS (SELECT id, CASE WHEN id % 2 = 0 THEN 1 ELSE 2 END AS val, CASE WHEN id % 2 = 0 THEN id ELSE 100 + id END AS place, x0 / 500 AS a, y0 / 500 AS b, x1 / 500 AS c, y1 / 500 AS d FROM counties),
+    g AS (SELECT *, unnest(range(CAST(floor(b) AS INT), CAST(floor(d) AS INT) + 1)) AS r FROM p), h AS (SELECT *, unnest(range(CAST(floor(a) AS INT), CAST(floor(c) AS INT) + 1)) AS col FROM g),
+    i AS (SELECT r, col, place, CASE WHEN col + 0.5 > a + 4 AND col + 0.5 < c - 4 AND r + 0.5 > b + 4 AND r + 0.5 < d - 4 THEN 0 ELSE val END AS v FROM h WHERE col + 0.5 > a AND col + 0.5 < c AND r + 0.5 > b AND r + 0.5 < d)
+    SELECT CAST(r AS INT) AS r, CAST(col AS INT) AS c, arg_max(v, place) AS v FROM i GROUP BY r, col HAVING arg_max(v, place) <> 0""",
+)
+def paint_polygons(spark, sf_dir):
+    from ..operators.places import box_ring
+
+    k = derived(spark, sf_dir, "counties")
+    x0, y0, x1, y1 = (k[c] / 500 for c in ("x0", "y0", "x1", "y1"))
+    even = k.id % 2 == 0
+    rows = k.select(F.when(even, F.col("id")).otherwise(F.col("id") + 100).alias("place"), F.when(even, 1).otherwise(2).alias("value"), F.array(box_ring(x0, y0, x1, y1), box_ring(x0 + 4, y0 + 4, x1 - 4, y1 - 4)).alias("rings"))
+    return x.painted(rows)
+
+
+@query(
+    "raster",
+    """WITH f AS (SELECT r, c, v * 2 AS f FROM raster WHERE c BETWEEN 20 AND 40), w AS (SELECT a.r, a.c, avg(CASE WHEN b.c BETWEEN 20 AND 40 THEN 1.0 ELSE 0.0 END) AS w FROM raster a JOIN raster b ON abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 GROUP BY a.r, a.c)
+    SELECT r, c, CAST(floor((CASE WHEN f IS NULL THEN v ELSE w * f + (1 - w) * v END) * 1000 + 0.01) AS BIGINT) AS v_k FROM raster JOIN w USING (r, c) LEFT JOIN f USING (r, c)""",
+)
+def blend(spark, sf_dir):
+    grid = _raster(spark, sf_dir)
+    fine = grid.where("c BETWEEN 20 AND 40").select("r", "c", (F.col("v") * 2).alias("v"))
+    return x.blended(grid, fine, 2).select("r", "c", F.floor(F.col("v") * 1000 + 0.01).alias("v_k"))
+
+
+@query(
+    "raster",
+    """WITH m AS (SELECT r, c FROM raster WHERE v >= 470), n AS (SELECT a.r, a.c, b.r AS r2, b.c AS c2 FROM m a JOIN m b ON (b.r = a.r AND b.c = a.c + 1) OR (b.r = a.r + 1 AND abs(b.c - a.c) <= 1))
+    SELECT * FROM n WHERE r = r2 OR c = c2 OR (NOT EXISTS (SELECT 1 FROM m WHERE m.r = n.r AND m.c = n.c2) AND NOT EXISTS (SELECT 1 FROM m WHERE m.r = n.r2 AND m.c = n.c))""",
+)
+def cell_links(spark, sf_dir):
+    return x.cell_links(_raster(spark, sf_dir).where("v >= 470"))
+
+
+def skeleton(spark, sf_dir):
+    mask = _raster(spark, sf_dir).where("v >= 400").select(F.floor(F.col("r") / 32).cast("int").alias("tile"), "r", "c")
+    return x.skeletons(mask, 1)
+
+
+query("", None)(skeleton)
