@@ -1,7 +1,13 @@
-"""SentencePiece encoding and decoding: batched Viterbi over the pieces of a model file."""
+"""SentencePiece encoding and decoding by the pieces of a model file, in batches of words of equal length.
+
+Unigram files are searched by Viterbi. The scores of a merge (BPE) file are ranks of merges, whose best sum is not
+the segmentation that the vocabulary was made with, so for those words of equal length are merged together instead,
+with the same look-up of substring hashes and the same vectorised maxima; ids are then those of the library.
+"""
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -61,6 +67,7 @@ class Pieces:
     scores: np.ndarray
     byte_ids: np.ndarray
     prefix: bool
+    merges: bool = False
     keys: np.ndarray = field(init=False)
     ids: np.ndarray = field(init=False)
 
@@ -89,13 +96,15 @@ class Pieces:
     def load(cls, path: str = MODEL_FILE) -> Pieces:
         with open(path, "rb") as f:
             data = f.read()
-        texts, kinds, scores, prefix = [], [], [], True
+        texts, kinds, scores, prefix, merges = [], [], [], True, False
         for number, value in _fields(data):
             if number == 1:
                 piece = dict(_fields(value))
                 texts.append(piece.get(1, b"").decode())
                 scores.append(float(np.frombuffer(piece[2], np.float32)[0]) if 2 in piece else 0.0)
                 kinds.append(piece.get(3, 1))
+            elif number == 2:
+                merges = dict(_fields(value)).get(3, 1) == 2
             elif number == 3:
                 prefix = bool(dict(_fields(value)).get(3, 1))
         kinds = np.array(kinds)
@@ -105,7 +114,7 @@ class Pieces:
         if (byte_ids < 0).any():
             raise ValueError("the vocabulary has no piece for each byte, so texts would not come back whole")
         raw = [bytes([int(t[3:5], 16)]) if k == 6 else t.replace(_MARK, " ").encode() if k in (1, 4) else b"" for t, k in zip(texts, kinds.tolist(), strict=True)]
-        return cls(raw, np.isin(kinds, (1, 4)), np.array(scores), byte_ids, prefix)
+        return cls(raw, np.isin(kinds, (1, 4)), np.array(scores), byte_ids, prefix, merges)
 
     def find(self, asked: np.ndarray) -> np.ndarray:
         """Id of the piece with each hash, or -1."""
@@ -189,6 +198,89 @@ class Pieces:
             at = back[at]
         return np.array(out[::-1], np.int32)
 
+    def merge_words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of words of equal length (rows of bytes) by merging, ids flat, and how many each word has.
+
+        Symbols are characters at first. In each round all words look up their adjacent pairs, and each merges its
+        pair of the highest score, the leftmost of equals, until no word has any. Characters that are no pieces
+        become bytes.
+        """
+        n, size = words.shape
+        sums = np.zeros((n, size + 1), U64)
+        np.cumsum(BYTE_VALUES[words] * powers(size), axis=1, out=sums[:, 1:])
+        inverse = np.multiply.accumulate(np.concatenate([np.ones(1, U64), np.full(size, pow(int(powers(2)[1]), -1, 1 << 64), U64)]))
+        head = (words & 0xC0) != 0x80
+        head[:, 0] = True
+        count = head.sum(axis=1)
+        begin = np.full((n, size + 2), size)
+        row, col = np.nonzero(head)
+        begin[row, (np.cumsum(head, axis=1) - 1)[row, col]] = col
+
+        def look(of: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            rows = of[:, None]
+            return self.find(mix((sums[rows, b] - sums[rows, a]) * inverse[a] + (b - a).astype(U64)).ravel()).reshape(a.shape)
+
+        live = np.flatnonzero(count > 1)
+        while len(live):
+            wide = int(count[live].max())
+            own = begin[live, : wide + 1]
+            piece = look(live, own[:, : wide - 1], own[:, 2 : wide + 1])
+            score = np.where((piece >= 0) & (np.arange(wide - 1) < count[live, None] - 1), self.scores[piece], -np.inf)
+            at = score.argmax(axis=1)
+            good = score[np.arange(len(live)), at] > -np.inf
+            live, at = live[good], at[good]
+            place = np.arange(size + 1)
+            begin[live, : size + 1] = np.take_along_axis(begin[live], place + (place > at[:, None]), axis=1)
+            count[live] -= 1
+            live = live[count[live] > 1]
+        every = np.arange(n)
+        piece = look(every, begin[:, :size], begin[:, 1 : size + 1])
+        out = np.full((n, size), -1, np.int32)
+        row, i = np.nonzero(np.arange(size) < count[:, None])
+        a, b, found = begin[row, i], begin[row, i + 1], piece[row, i]
+        known = found >= 0
+        out[row[known], a[known]] = found[known]
+        for r, x, y in zip(row[~known].tolist(), a[~known].tolist(), b[~known].tolist(), strict=True):
+            out[r, x:y] = self.byte_ids[words[r, x:y]]
+        kept = out >= 0
+        return out[kept], kept.sum(axis=1)
+
+    def merge_long(self, word: np.ndarray) -> np.ndarray:
+        """As merge_words, for one long word, with a queue of pairs."""
+        data = word.tobytes()
+        ids = {self.texts[i]: int(i) for i in self.ids}
+        start = [i for i, b in enumerate(data) if b & 0xC0 != 0x80 or not i]
+        end = dict(zip(start, [*start[1:], len(data)], strict=True))
+        back = dict(zip(start[1:], start[:-1], strict=True))
+        queue: list[tuple[float, int, int, int]] = []
+
+        def offer(a: int) -> None:
+            b = end.get(a)
+            if b is not None and b in end:
+                piece = ids.get(data[a : end[b]])
+                if piece is not None:
+                    heapq.heappush(queue, (-self.scores[piece], a, b, end[b]))
+
+        for a in start:
+            offer(a)
+        while queue:
+            _, a, b, c = heapq.heappop(queue)
+            if end.get(a) != b or end.get(b) != c:
+                continue  # one of the two has been merged since
+            end[a] = c
+            del end[b]
+            back.pop(b)
+            if c in end:
+                back[c] = a
+                offer(a)
+            if a in back:
+                offer(back[a])
+        out: list[int] = []
+        for a in sorted(end):
+            piece = ids.get(data[a : end[a]])
+            out += [piece] if piece is not None else self.byte_ids[word[a : end[a]]].tolist()
+        return np.array(out, np.int32)
+
     def words_of(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths of the parts that no piece crosses: cut at texts, before spaces, around lone bytes."""
         first = np.zeros(len(data), bool)
@@ -224,14 +316,14 @@ class Encoder:
             size = int(lengths[group[0]]) if len(group) else 0
             if size > LONG:
                 for w in group:
-                    flat.append(self.pieces.split_long(data[starts[w] : starts[w] + size]))
+                    flat.append((self.pieces.merge_long if self.pieces.merges else self.pieces.split_long)(data[starts[w] : starts[w] + size]))
                     counts[w] = len(flat[-1])
                     placed.append(np.array([w]))
             else:
                 step = max(1, (1 << 18) // max(size, 1))
                 for lo in range(0, len(group), step):
                     own = group[lo : lo + step]
-                    got, counts[own] = self.pieces.split_words(data[starts[own][:, None] + np.arange(size)])
+                    got, counts[own] = (self.pieces.merge_words if self.pieces.merges else self.pieces.split_words)(data[starts[own][:, None] + np.arange(size)])
                     flat.append(got)
                     placed.append(own)
         rank = np.concatenate(placed) if placed else np.zeros(0, np.int64)
@@ -301,7 +393,8 @@ def _list(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 def encoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """documents with ``ids`` array<int> in place of the column ``text``; a null text has null ids, an empty one none.
 
-    The segmentation has the highest sum of piece scores, characters outside the vocabulary going to byte pieces.
+    A unigram file's segmentation has the highest sum of piece scores, a merge file's comes from its merges;
+    characters outside the vocabulary go to byte pieces.
     Texts are not normalised, and the word mark itself, where a text holds it, is encoded by its bytes, so decoding
     returns every text as it was. Other columns and repeated rows pass unchanged.
     """
@@ -343,6 +436,29 @@ def _decode_batch(pieces: Pieces, batch: pa.RecordBatch, name: str):
         yield lo, lo + len(part), pc.if_else(part.is_null(), pa.scalar(None, pa.string()), made) if part.null_count else made
 
 
+def recoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
+    """documents with ``ids`` added, and ``text`` as decoding the ids gives it; both in one pass over the rows.
+
+    A null text has null ids and stays null. Other columns and repeated rows pass unchanged.
+    """
+    rest = [c for c in docs.columns if c not in ("text", "ids")]
+    schema = docs.select(*rest).schema.add("text", "string").add("ids", T.ArrayType(T.IntegerType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = Encoder(Pieces.load(model_file))
+        for batch in batches:
+            for lo, hi, data, offs in chunks(batch, "text", 1 << 20):
+                ids, counts = state.encode(data, offs)
+                back, ends = decode(state.pieces, ids, counts)
+                text = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(back))]).cast(pa.string())
+                made, null = _list(ids, counts), batch.column("text").slice(lo, hi - lo).is_null()
+                if null.true_count:
+                    text, made = pc.if_else(null, pa.scalar(None, pa.string()), text), pc.if_else(null, pa.scalar(None, made.type), made)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in rest), text, made], names=[*rest, "text", "ids"])
+
+    return docs.select(*rest, "text").mapInArrow(run, schema)
+
+
 def encoded_and_decoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """doc_id, n_bytes, n_tokens, ids, round_trip: encoding, decoding and whether the text came back, in one pass."""
     schema = "doc_id long, n_bytes long, n_tokens long, ids array<int>, round_trip boolean"

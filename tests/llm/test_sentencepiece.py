@@ -60,9 +60,12 @@ def score(pieces, ids):
     return sum(pieces.scores[i] for i in ids if i not in lone)
 
 
-def test_same_as_the_library_over_the_same_pieces(spark):
-    pieces = sp.Pieces.load()
-    library = sentencepiece.SentencePieceProcessor(model_proto=as_unigram(sp.MODEL_FILE))
+def test_same_as_the_library_over_the_same_pieces(spark, tmp_path):
+    with open(tmp_path / "unigram.model", "wb") as f:
+        f.write(as_unigram(sp.MODEL_FILE))
+    pieces = sp.Pieces.load(str(tmp_path / "unigram.model"))
+    assert not pieces.merges
+    library = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "unigram.model"))
     whole = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     encode(pieces, whole)
     texts = sorted({w for t in whole for w in t.split()})[::5]  # the library sums in single precision: words, not texts
@@ -74,6 +77,14 @@ def test_same_as_the_library_over_the_same_pieces(spark):
     assert sum(same) >= 0.99 * len(same), [x for x in zip(texts, got, library.encode(texts), same) if not x[3]][:5]
 
 
+def test_merges_are_those_of_the_library(spark):
+    pieces = sp.Pieces.load()
+    library = sentencepiece.SentencePieceProcessor(model_file=sp.MODEL_FILE)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += ["", " ", "  two  spaces ", "a\nb\t\tc", "naïve café 日本語 \U0001f600", "x" * 500, "-" * 400 + "é" * 200, "the" * 300]
+    assert pieces.merges and encode(pieces, texts) == library.encode(texts)
+
+
 def test_random_texts_come_back(spark):
     rng = random.Random(2)
     pieces = sp.Pieces.load()
