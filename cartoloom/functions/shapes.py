@@ -101,6 +101,31 @@ def point_inside(ring: np.ndarray) -> tuple[float, float]:
     return float((xs[2 * at] + xs[2 * at + 1]) / 2), float(y)
 
 
+def line_ring_distance(line: np.ndarray, ring: np.ndarray) -> float:
+    """Distance of a line from a closed ring's area: 0 if any of it is inside or they cross."""
+    y, x = line[:, 1][:, None], line[:, 0][:, None]
+    a, b = ring[:-1], ring[1:]
+    rise = np.where(b[:, 1] == a[:, 1], 1.0, b[:, 1] - a[:, 1])
+    hit = ((a[:, 1] > y) != (b[:, 1] > y)) & (x < (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / rise + a[:, 0])
+    if (hit.sum(axis=1) % 2 == 1).any():
+        return 0.0
+
+    def to_segments(points: np.ndarray, p: np.ndarray, q: np.ndarray) -> float:
+        d = q - p
+        size = np.maximum((d * d).sum(axis=1), 1e-300)
+        t = np.clip(((points[:, None] - p) * d).sum(axis=2) / size, 0, 1)
+        return float(np.sqrt((((points[:, None] - p) - t[..., None] * d) ** 2).sum(axis=2)).min())
+
+    if len(line) > 1:
+        p, q = line[:-1], line[1:]
+        side = lambda o, v, w: (v[..., 0] - o[..., 0]) * (w[..., 1] - o[..., 1]) - (v[..., 1] - o[..., 1]) * (w[..., 0] - o[..., 0])
+        p, q, c, d = p[:, None], q[:, None], a[None], b[None]
+        if ((side(p, q, c) * side(p, q, d) < 0) & (side(c, d, p) * side(c, d, q) < 0)).any():
+            return 0.0
+        return min(to_segments(line, a, b), to_segments(ring, line[:-1], line[1:]))
+    return to_segments(line, a, b)
+
+
 def line_wkb(points: np.ndarray) -> bytes:
     return struct.pack("<BII", 1, 2, len(points)) + np.asarray(points, "<f8").tobytes()
 

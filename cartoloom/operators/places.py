@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import geo
+from ..functions import geo, shapes
 
 
 def _cells(rows: DataFrame, x: str, y: str, size: float) -> DataFrame:
@@ -116,3 +118,29 @@ def crossings(climbs: DataFrame) -> DataFrame:
     found = climbs.groupBy("k").agg(F.first("d").alias("d"), at(1 / 3).alias("a"), at(2 / 3).alias("b"), at(1.0).alias("c"))
     a, b, c = (F.coalesce(x, "d") for x in "abc")
     return found.select("k", a.alias("first"), (b - a).alias("second"), (c - b).alias("third"))
+
+
+def lines_near(lines: DataFrame, polygons: DataFrame, buffer: float, cell: float) -> DataFrame:
+    """(id, polygon): lines (id, line) no farther than ``buffer`` from polygons (polygon, ring); inside counts.
+
+    Both go to the cells that their boxes cover, the polygons' grown by the buffer; pairs that share one are tested
+    once, exactly, in Arrow batches.
+    """
+
+    def cells(rows: DataFrame, shape: str, grow: float) -> DataFrame:
+        span = lambda k: F.sequence(F.floor((F.array_min(F.transform(shape, lambda p: p[k])) - grow) / cell), F.floor((F.array_max(F.transform(shape, lambda p: p[k])) + grow) / cell))
+        return rows.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
+
+    met = cells(lines, "line", 0.0).select("id", "cx", "cy").join(cells(polygons, "ring", buffer).select("polygon", "cx", "cy"), ["cx", "cy"]).select("id", "polygon").distinct()
+
+    @F.pandas_udf("boolean")
+    def near(a: pd.Series, b: pd.Series) -> pd.Series:
+        get = lambda v: np.array([(p["x"], p["y"]) for p in v], float)
+        return pd.Series([shapes.line_ring_distance(get(x), get(y)) <= buffer for x, y in zip(a, b, strict=True)])
+
+    return met.join(lines, "id").join(polygons, "polygon").where(near("line", "ring")).select("id", "polygon")
+
+
+def with_vertex_in(lines: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
+    """Lines with a vertex in the box; one that merely crosses it is not meant."""
+    return lines.where(F.exists("line", lambda p: p["x"].between(x0, x1) & p["y"].between(y0, y1)))

@@ -154,3 +154,33 @@ def region_children(spark, sf_dir):
     r, n = table(spark, sf_dir, "region").where("r_regionkey % 2 = 0"), table(spark, sf_dir, "nation")
     rows = r.join(n, r.r_regionkey == n.n_regionkey)
     return rows.select(F.col("r_name").alias("parent"), F.col("n_name").alias("name"), F.row_number().over(Window.partitionBy("r_regionkey").orderBy("n_name")).alias("place"))
+
+
+def _lines(spark, sf_dir):
+    """Lines from each park to the peak of its number, with a bend between."""
+    park, peak = _parks(spark, sf_dir).select("id", F.col("x").alias("x0"), F.col("y").alias("y0")), _peaks(spark, sf_dir).select("id", F.col("x").alias("x1"), F.col("y").alias("y1"))
+    point = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
+    return park.join(peak, "id").select("id", F.array(point("x0", "y0"), point("x1", "y0"), point("x1", "y1")).alias("line"))
+
+
+@query(
+    "parks peaks counties",
+    """WITH l AS (SELECT p.id, p.e AS x0, p.n AS y0, q.e AS x1, q.n AS y1 FROM parks p JOIN peaks q USING (id)),
+    s AS (SELECT id, least(x0, x1) AS a, y0 AS b, greatest(x0, x1) AS c, y0 AS d FROM l UNION ALL SELECT id, x1, least(y0, y1), x1, greatest(y0, y1) FROM l)
+    SELECT DISTINCT s.id, k.id AS polygon FROM s JOIN counties k ON power(greatest(0, k.x0 - c, a - k.x1), 2) + power(greatest(0, k.y0 - d, b - k.y1), 2) <= 1000000""",
+)
+def edges_in_regions(spark, sf_dir):
+    c = derived(spark, sf_dir, "counties")
+    return p.lines_near(_lines(spark, sf_dir), c.select(F.col("id").alias("polygon"), p.box_ring(c.x0, c.y0, c.x1, c.y1).alias("ring")), 1000.0, 4000.0)
+
+
+@query("parks peaks", "SELECT p.id FROM parks p JOIN peaks q USING (id) WHERE (p.e BETWEEN 5000 AND 20000 AND p.n BETWEEN 5000 AND 20000) OR (q.e BETWEEN 5000 AND 20000 AND p.n BETWEEN 5000 AND 20000) OR (q.e BETWEEN 5000 AND 20000 AND q.n BETWEEN 5000 AND 20000)")
+def vertex_in_box(spark, sf_dir):
+    return p.with_vertex_in(_lines(spark, sf_dir), 5000.0, 5000.0, 20000.0, 20000.0).select("id")
+
+
+@query("peaks", "SELECT id, CAST(-(2 * 200000 + (id % 2) * 100000 + least(CAST(floor(score) AS BIGINT), 99999)) AS BIGINT) AS sort_key FROM peaks WHERE score > 0")
+def peak_sort_key(spark, sf_dir):
+    c = F.col
+    key = -(F.lit(2) * 200_000 + (c("id") % 2) * 100_000 + F.least(F.floor("score"), F.lit(99_999)))
+    return _peaks(spark, sf_dir).where("score > 0").select("id", key.cast("long").alias("sort_key"))

@@ -59,6 +59,8 @@ def shapefile_rings(files: DataFrame, box: tuple[float, float, float, float] | N
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 found = list(parse_shapes(content, box))
+                if not found:
+                    continue
                 yield pd.DataFrame({"path": path, "ring": [[{"x": x, "y": y} for x, y in r.tolist()] for r, _ in found], "outer": [o for _, o in found]})
 
     return files.select("path", "content").mapInPandas(run, f"path string, ring {RING}, outer boolean")
