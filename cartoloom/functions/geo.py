@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_MEAN = 6_371_008.8
@@ -90,6 +90,20 @@ def to_grid(lat: Column, lon: Column, lon0: float, axis: float = AXIS, flattenin
     return east * a, north * a
 
 
+def grid_extent(areas: DataFrame, lon0: float, cell: float, points: int = 200, line: float = 10_000.0) -> DataFrame:
+    """id, x0, y0, rows, cols of a grid over each area (id, west, south, east, north): its edge, which curves in the
+    projection, is read at ``points`` a side; the corner lies on a whole ``line``."""
+    k = F.col("k") / (points - 1)
+    side = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * k
+    edge = F.array(*(F.struct(x.alias("lon"), y.alias("lat")) for x, y in ((side("west", "east"), F.col("south")), (F.col("east"), side("south", "north")), (side("east", "west"), F.col("north")), (F.col("west"), side("north", "south")))))
+    at = areas.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).select("id", F.explode(edge).alias("p"))
+    east, north = to_grid(F.col("p.lat"), F.col("p.lon"), lon0)
+    found = at.select("id", east.alias("x"), north.alias("y")).groupBy("id").agg(*(f(c).alias(f"{f.__name__}{c}") for f in (F.min, F.max) for c in "xy"))
+    low = lambda c: F.floor(F.col(f"min{c}") / line) * line
+    count = lambda c: F.ceil((F.col(f"max{c}") - low(c)) / cell).cast("int")
+    return found.select("id", low("x").alias("x0"), low("y").alias("y0"), count("y").alias("rows"), count("x").alias("cols"))
+
+
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
     """Whether a point lies in a closed ring of structs (x, y), by crossings of a ray."""
     edges = F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))

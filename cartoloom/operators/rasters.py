@@ -50,12 +50,56 @@ def hillshade(grid: DataFrame, cell: float, azimuth: float = 315.0, altitude: fl
     return gradients(grid, cell).select("r", "c", F.rint((light - lz) * 127).cast("int").alias("shade"))
 
 
-def slope_band(quarter_degrees: Column, edges: tuple[float, ...] = (25.0, 30.0, 38.0, 45.0), soft: float = 0.35) -> Column:
-    """Opacity (0 .. 1) summed over the bands that a slope has entered, each band's edge softened by ``soft`` degrees."""
-    total = F.lit(0.0)
-    for e in edges:
-        total = total + F.greatest(F.lit(0.0), F.least(F.lit(1.0), (quarter_degrees / 4 - (e - soft)) / (2 * soft)))
-    return total
+# From what slope (degrees) a band holds, its colour and opacity; the shade's colour and opacities.
+BANDS = ((25.0, (0.99, 0.72, 0.45), 0.32), (30.0, (0.93, 0.42, 0.42), 0.45), (38.0, (0.84, 0.24, 0.46), 0.62), (45.0, (0.70, 0.09, 0.38), 0.80))
+SHADOW, SHADOW_COLOUR, LIGHT = 0.30, (0.20, 0.22, 0.28), 0.20
+
+
+def _unit(x: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+
+
+def slope_colour(quarter_degrees: Column, soft: float = 0.35) -> Column:
+    """Struct (r, g, b, a), premultiplied, of a slope: the band that it is in alone, blending over a soft edge."""
+    rgba = [F.lit(0.0)] * 4
+    for start, colour, opacity in BANDS:
+        t = _unit((quarter_degrees / 4 - start + soft) / (2 * soft))
+        rgba = [old * (1 - t) + t * (opacity * c) for old, c in zip(rgba, (*colour, 1.0), strict=True)]
+    return F.struct(*(x.alias(n) for x, n in zip(rgba, "rgba", strict=True)))
+
+
+def shade_colour(shade: Column) -> Column:
+    """Struct (r, g, b, a), premultiplied, of a shade in 1/127: the shadow's colour, and white light over it."""
+    dark, light = _unit(-shade / 127) * SHADOW, _unit(shade / 127) * LIGHT
+    rgb = [dark * c * (1 - light) + light for c in SHADOW_COLOUR]
+    return F.struct(*(x.alias(n) for x, n in zip([*rgb, light + dark * (1 - light)], "rgba", strict=True)))
+
+
+def shown(pixels: DataFrame) -> DataFrame:
+    """Tiles (tile, with pixels' opacity a) on which anything is to be seen."""
+    return pixels.groupBy("tile").agg(F.max("a").alias("most")).where(F.col("most") >= 1 / 255).select("tile")
+
+
+def core(grid: DataFrame, half: int, least: float = 0.5, share: float = 0.5) -> DataFrame:
+    """Cells (r, c) of at least ``least`` that have ``share`` of the highest within ``half`` cells, along both axes."""
+    steps = F.sequence(F.lit(-half), F.lit(half))
+    rows = grid.withColumn("d", F.explode(steps)).select("r", (F.col("c") + F.col("d")).alias("c"), "v").groupBy("r", "c").agg(F.max("v").alias("m"))
+    rows = rows.withColumn("d", F.explode(steps)).select((F.col("r") + F.col("d")).alias("r"), "c", "m").groupBy("r", "c").agg(F.max("m").alias("m"))
+    return grid.join(rows, ["r", "c"]).where((F.col("v") >= least) & (F.col("v") >= share * F.col("m"))).select("r", "c")
+
+
+def distances(mask: np.ndarray) -> np.ndarray:
+    """Each cell's distance from the nearest cell of a mask, exact, by one pass along each axis."""
+    big = float(sum(mask.shape)) ** 2
+    near = np.full(mask.shape, big)
+    rows = np.arange(mask.shape[0])[:, None]
+    above = np.maximum.accumulate(np.where(mask, rows, -(10**9)), axis=0)
+    below = np.minimum.accumulate(np.where(mask, rows, 10**9)[::-1], axis=0)[::-1]
+    up = np.minimum(np.minimum(rows - above, below - rows).astype(float), big) ** 2
+    cols = np.arange(mask.shape[1])
+    for c in cols:
+        near[:, c] = (up + (cols - c) ** 2).min(axis=1)
+    return np.sqrt(near)
 
 
 def block_mean(grid: DataFrame, factor: int = 2) -> DataFrame:

@@ -71,3 +71,13 @@ def combined(tiles: DataFrame) -> DataFrame:
 def distinct_features(rows: DataFrame, same: list[str], order: list[str]) -> DataFrame:
     """rows without those that equal an earlier one (by ``order``) in the columns ``same``."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*same).orderBy(*order))).where("_n = 1").drop("_n")
+
+
+def merged_metadata(a: DataFrame, b: DataFrame, own: dict[str, str]) -> DataFrame:
+    """name, value of two tables of metadata (name, value): a's bounds and centre, both lists of layers, and ``own``."""
+    layers = "array<map<string,string>>"
+    read = lambda t: t.where("name = 'json'").select(F.from_json(F.get_json_object("value", "$.vector_layers"), layers).alias("v"))
+    both = read(a).withColumnRenamed("v", "x").join(read(b).withColumnRenamed("v", "y"))
+    json = both.select(F.lit("json").alias("name"), F.to_json(F.struct(F.concat("x", "y").alias("vector_layers"))).alias("value"))
+    kept = a.where(F.col("name").isin("bounds", "center")).select("name", "value")
+    return kept.unionByName(json).unionByName(a.sparkSession.createDataFrame(list(own.items()), "name string, value string"))

@@ -27,12 +27,29 @@ def hillshade(spark, sf_dir):
     return x.hillshade(_raster(spark, sf_dir), 20.0)
 
 
-@query(
-    "raster",
-    f"WITH {_RING}, s AS (SELECT r, c, CAST(round_even(degrees(atan(sqrt(gx * gx + gy * gy))) * 4, 0) AS INT) / 4.0 AS d FROM g) SELECT r, c, CAST(round(1000 * ({' + '.join(f'greatest(0, least(1, (d - {e - 0.35}) / 0.7))' for e in (25, 30, 38, 45))})) AS INT) AS band_k FROM s",
-)
+def _fold(opacities):
+    """SQL of the bands' blended opacity over column d (degrees)."""
+    out = "0.0"
+    for start, opacity in opacities:
+        t = f"greatest(0, least(1, (d - {start} + 0.35) / 0.7))"
+        out = f"(({out}) * (1 - {t}) + {t} * {opacity})"
+    return out
+
+
+@query("raster", f"WITH {_RING}, s AS (SELECT r, c, CAST(round_even(degrees(atan(sqrt(gx * gx + gy * gy))) * 4, 0) AS INT) / 4.0 AS d FROM g) SELECT r, c, CAST(round(1000 * {_fold((b, o) for b, _, o in x.BANDS)}) AS INT) AS alpha_k FROM s")
 def slope_band(spark, sf_dir):
-    return x.slope(_raster(spark, sf_dir), 20.0).select("r", "c", F.round(x.slope_band(F.col("slope")) * 1000).cast("int").alias("band_k"))
+    return x.slope(_raster(spark, sf_dir), 20.0).select("r", "c", F.round(x.slope_colour(F.col("slope"))["a"] * 1000).cast("int").alias("alpha_k"))
+
+
+@query("raster", "SELECT r, c, CAST(floor(1e6 * (light + dark * (1 - light)) + 0.5) AS BIGINT) AS a_u, CAST(floor(1e6 * (dark * 0.28 * (1 - light) + light) + 0.5) AS BIGINT) AS b_u FROM (SELECT r, c, greatest(0, least(1, (v - 250) / 127.0)) * 0.2 AS light, greatest(0, least(1, (250 - v) / 127.0)) * 0.3 AS dark FROM raster)")
+def shade_colour(spark, sf_dir):
+    rows = _raster(spark, sf_dir).select("r", "c", x.shade_colour(F.col("v") - 250).alias("k"))
+    return rows.select("r", "c", F.floor(F.col("k.a") * 1e6 + 0.5).alias("a_u"), F.floor(F.col("k.b") * 1e6 + 0.5).alias("b_u"))
+
+
+@query("raster", "SELECT a.r, a.c FROM raster a JOIN raster b ON abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 GROUP BY a.r, a.c, a.v HAVING a.v >= 400 AND a.v >= 0.9 * max(b.v)")
+def heat_core(spark, sf_dir):
+    return x.core(_raster(spark, sf_dir), 2, 400, 0.9)
 
 
 @query("raster", "SELECT r // 2 AS r, c // 2 AS c, CAST(floor(avg(v) * 12 + 0.5) AS BIGINT) AS mean_12 FROM raster GROUP BY r // 2, c // 2")

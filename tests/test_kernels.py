@@ -225,3 +225,21 @@ def test_region_graph():
     assert struct.unpack_from("<4i", data) == (0x52474D4D, 1, 3, 2)
     at = 64 + 16 + 16
     assert struct.unpack_from("<4i", data, at) == (0, 1, 3, 4) and struct.unpack_from("<4i", data, at + 16) == (0, 1, -1, -2)
+
+
+def test_distances():
+    rng = np.random.default_rng(4)
+    mask = rng.random((17, 23)) < 0.05
+    mask[3, 4] = True
+    at = np.argwhere(mask)
+    want = np.array([[min(math.hypot(r - y, c - x) for y, x in at) for c in range(23)] for r in range(17)])
+    assert np.allclose(rasters.distances(mask), want)
+
+
+def test_grid_extent_and_metadata(spark):
+    area = spark.createDataFrame([(1, -1.0, 50.0, 1.0, 51.0)], "id int, west double, south double, east double, north double")
+    got = geo.grid_extent(area, 0.0, 25.0).first()
+    assert got.x0 == -80_000 and got.y0 % 10_000 == 0 and 5_500_000 < got.y0 < 5_600_000 and got.cols > 5900 and got.rows > 4400
+    meta = lambda n: spark.createDataFrame([("bounds", n), ("json", '{"vector_layers": [{"id": "%s"}]}' % n)], "name string, value string")
+    out = {r.name: r.value for r in tiles.merged_metadata(meta("a"), meta("b"), {"format": "pbf"}).collect()}
+    assert out == {"bounds": "a", "format": "pbf", "json": '{"vector_layers":[{"id":"a"},{"id":"b"}]}'}
