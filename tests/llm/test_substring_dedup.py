@@ -51,3 +51,9 @@ def test_suffix_order_is_that_of_the_bytes():
     ctx = sd.Contexts(data, start, at, count, rng.integers(0, 3, 30).astype(np.uint64))
     want = sorted(range(30), key=lambda i: (ctx.key[i], data[at[i] : start[i] + count[i] + 99].tobytes()))
     assert [(ctx.key[i], data[at[i] : start[i] + count[i] + 99].tobytes()) for i in ctx.suffix_order()] == [(ctx.key[i], data[at[i] : start[i] + count[i] + 99].tobytes()) for i in want]
+
+
+def test_parts_are_the_same_in_sql(spark):
+    ids = [0, 1, -1, 7, 2**62, -(2**63), 2**63 - 1, 123456789]
+    got = {r.id: r.p for r in spark.createDataFrame([(i,) for i in ids], "id long").select("id", sd._part_column(sd.F.col("id"), 97).alias("p")).collect()}
+    assert got == dict(zip(ids, sd._part(np.array(ids, np.int64), 97).tolist()))
