@@ -17,6 +17,8 @@ from .common import U64, chunks, mix, powers, table
 SAMPLE_PER_LANG = 600
 #: A word is known if the sample has it so often; n-grams go from the first length to the last.
 KNOWN, ORDERS = 3, (5, 4, 3, 2, 1)
+#: Bytes of text whose words are scored at once; bounds a worker's memory.
+TEXT_BYTES = 1 << 20
 #: Pseudo-count of what a language has not shown.
 SMOOTH = 0.3
 _letters: np.ndarray | None = None
@@ -187,18 +189,19 @@ def predicted(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     go to the language that sorts first. Every row stays, repeated ids too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = "text" if "text" in keep else "own_text"  # a text that is kept crosses to Python once
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         names = np.array([*own.langs, "und"], object)
         for batch in batches:
-            for lo, hi, _, _ in chunks(batch, "own_text"):
-                pick, score = own.predict(batch.column("own_text").slice(lo, hi - lo).to_pylist())
+            for lo, hi, _, _ in chunks(batch, text, TEXT_BYTES):
+                pick, score = own.predict(batch.column(text).slice(lo, hi - lo).to_pylist())
                 kept = [batch.column(c).slice(lo, hi - lo) for c in keep]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(names[pick], pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col("text").alias("own_text")).mapInArrow(run, schema)
+    return (docs.select(*keep) if text == "text" else docs.select(*keep, F.col("text").alias(text))).mapInArrow(run, schema)
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:

@@ -13,7 +13,7 @@ from cartoloom.llm.decontaminate import contamination
 from cartoloom.llm.langid import predicted, trained
 from cartoloom.llm.near_dedup import near_duplicates
 from cartoloom.llm.pii import personal_data, redacted
-from cartoloom.llm.sentencepiece import decoded, encoded
+from cartoloom.llm.sentencepiece import recoded
 
 #: A document whose language is more uncertain than this is rejected, as is one without letters.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -58,7 +58,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds ids, the text's pieces; text is what decoding them gives."""
-    return decoded(encoded(docs).withColumn("kept_ids", F.col("ids"))).withColumnRenamed("kept_ids", "ids").select(*docs.columns, "ids")
+    return recoded(docs).select(*docs.columns, "ids")
 
 
 STAGES = [
