@@ -5,6 +5,7 @@ The byte kernels work on whole Arrow buffers, so that one numpy call handles all
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: Bytes of text that a kernel takes at once; bounds a worker's memory, never the text that is handled.
 CHUNK_BYTES = 4 << 20
 
@@ -182,6 +184,13 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray
     return distinct_sets(*gram_hashes(word_hashes(data, starts, lengths, FOLDED_VALUES), per_text, k))
 
 
+def release() -> None:
+    """Gives memory that Arrow and the allocator hold but do not use back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def one_per_id(docs: DataFrame, key: str, value: str) -> DataFrame:
     """(key, value) with one row for each key: where a key repeats, its smallest non-null value.
 

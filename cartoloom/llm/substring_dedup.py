@@ -8,14 +8,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, U64, chunks, mix, one_per_id, powers, string_parts, table
+from .common import BASE, BYTE_VALUES, U64, chunks, mix, one_per_id, powers, release, string_parts, table
 
 #: Bytes of a window (a string that may repeat), of an anchor in it, and the places an anchor can have.
 WINDOW, GRAM = 100, 32
 PLACES = WINDOW - GRAM + 1
+#: Bytes of text whose anchors are found at once, and bytes of text for one part: they bound a worker's memory.
+TEXT_BYTES, PART_BYTES = 1 << 18, 2 << 20
+#: Anchors that a task gathers before it sends them, packed by part.
+PACKED = 200_000
 _inverse = np.ones(1, U64)
 
 
@@ -151,9 +155,9 @@ class Contexts:
             key = mix((self.sums[self.at[own]] - self.sums[begin]) * self.inverse[begin] + run[own].astype(U64) * U64(0x9E3779B97F4A7C15))
             _, one, every = np.unique(key, return_index=True, return_inverse=True)  # own is in order: one is the first
             later = np.flatnonzero(one[every] != np.arange(len(own)))
-            context.append(own[later])
-            place.append(window[own[later]])
-            source.append(own[one[every[later]]])
+            context.append(own[later].astype(np.int32))
+            place.append(window[own[later]].astype(np.int32))
+            source.append(own[one[every[later]]].astype(np.int32))
         if not context:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         context, place, source = (np.concatenate(x) for x in (context, place, source))
@@ -162,7 +166,7 @@ class Contexts:
 
     def _verified(self, context: np.ndarray, place: np.ndarray, source: np.ndarray) -> np.ndarray:
         """Whether the bytes are equal, not just their hashes; where not, every window of the key is compared."""
-        pair, at = np.unique(context * len(self.start) + source, return_inverse=True)
+        pair, at = np.unique(context.astype(np.int64) * len(self.start) + source, return_inverse=True)
         left = self.at[context] - self.start[context] - place  # from the window to the anchor
         far, near = np.zeros(len(pair), np.int64), np.full(len(pair), PLACES, np.int64)
         np.maximum.at(far, at, left)
@@ -197,9 +201,29 @@ def _spans(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return doc[first], place[first], place[np.append(first[1:], len(doc))[: len(first)] - 1] + WINDOW if len(doc) else place
 
 
+#: Shifts that scatter an id or a hash over the parts, the same here and in SQL.
+_SHIFTS, _SALT = (13, 7, 17), 0x5DEECE66D1CE4E5B
+
+
+def _part(values: np.ndarray, parts: int) -> np.ndarray:
+    x = values.view(U64) ^ U64(_SALT)
+    x = x ^ x << U64(_SHIFTS[0])
+    x = x ^ x >> U64(_SHIFTS[1])
+    x = x ^ x << U64(_SHIFTS[2])
+    return x.view(np.int64) % parts
+
+
+def _part_column(column: Column, parts: int) -> Column:
+    x = column.bitwiseXOR(F.lit(_SALT))
+    x = x.bitwiseXOR(F.shiftleft(x, _SHIFTS[0]))
+    x = x.bitwiseXOR(F.shiftrightunsigned(x, _SHIFTS[1]))
+    x = x.bitwiseXOR(F.shiftleft(x, _SHIFTS[2]))
+    return F.pmod(x, F.lit(parts)).cast("int")
+
+
 def _dealer(parts: int):
     def deal(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        part = (mix(keys.view(U64)) % U64(parts)).astype(np.int64)
+        part = _part(keys, parts)
         order = np.argsort(part, kind="stable")
         for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
             if len(own):
@@ -212,8 +236,8 @@ def _from_blobs(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(b, kind) for b in table.column(name).to_pylist()] or [np.zeros(0, kind)])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(part, ids, begins, ends): packed spans of repeated bytes of documents (part, doc_id, text).
+def repeated_spans(docs: DataFrame, parts: int) -> DataFrame:
+    """(part, ids, begins, ends): packed spans of repeated bytes of documents (part, doc_id, text), part < parts.
 
     1. Tasks find the anchors of their texts and send (hash, document, place) to the part of the hash, packed.
     2. Each part names the anchors whose hash occurs twice and sends them to the parts of their documents.
@@ -221,18 +245,29 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
        within a part go on: however often a passage repeats, a part sends its context once.
     4. These meet in the part of the anchor's hash, where suffix sorting finds the windows that start earlier.
     """
-    parts = _parts(docs.sparkSession)
     deal = _dealer(parts)
 
+    names = ["part", "keys", "ids", "places"]
+
+    def send(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        key, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        rows = [(p, key[own].tobytes(), doc[own].tobytes(), place[own].tobytes()) for p, own in deal(key)]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int32()) for i in range(4)], names=names)
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            for lo, hi, data, offs in chunks(batch, "text"):
+            for lo, hi, data, offs in chunks(batch, "text", TEXT_BYTES):
                 place, _, _, key = anchors(data, offs)
                 text = np.searchsorted(offs, place, "right") - 1
-                doc, place = ids[lo:hi][text], place - offs[text]
-                rows = [(p, key[own].tobytes(), doc[own].tobytes(), place[own].astype(np.int32).tobytes()) for p, own in deal(key)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)] if rows else [pa.array([], t) for t in (pa.int32(), *[pa.binary()] * 3)], names=["part", "keys", "ids", "places"])
+                found.append((key, ids[lo:hi][text], (place - offs[text]).astype(np.int32)))
+                if sum(len(f[0]) for f in found) > PACKED:
+                    yield send(found)
+                    found = []
+        if found:
+            yield send(found)
+        release()
 
     packed = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("places", pa.binary())])
 
@@ -256,7 +291,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         want_doc, want_place = _from_blobs(named, "ids", np.int64), _from_blobs(named, "places", np.int32)
         found: list[tuple[np.ndarray, ...]] = []
         for batch in texts.combine_chunks().to_batches() if len(want_doc) else ():
-            for lo, hi, data, offs in chunks(batch, "text"):
+            for lo, hi, data, offs in chunks(batch, "text", TEXT_BYTES):
                 place, first, last, key = anchors(data, offs)
                 text = np.searchsorted(offs, place, "right") - 1
                 wanted = np.isin(want_doc, batch.column("doc_id").slice(lo, hi - lo).to_numpy())
@@ -287,6 +322,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     size = z - a + WINDOW
                     flat = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(np.cumsum(size) - size, size)
                     rows.append((p, key[o].tobytes(), doc[o].tobytes(), (begin[o] + a).tobytes(), (left[o] - a).astype(np.int64).tobytes(), (z - a + 1).tobytes(), data[flat + np.repeat(start[o] + a, size)].tobytes()))
+        release()
         return pa.table([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(sent)], schema=sent)
 
     spans = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("begins", pa.binary()), ("ends", pa.binary())])
@@ -303,6 +339,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             more = _spans(d[context], b[context] + window)
             doc, begin, end = (np.concatenate(x) for x in zip((doc, begin, end), more, strict=True))
         rows = [(p, doc[own].tobytes(), begin[own].tobytes(), end[own].tobytes()) for p, own in deal(doc)]
+        release()
         return pa.table([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(spans)], schema=spans)
 
     found = docs.select("doc_id", "text").mapInArrow(find, "part int, keys binary, ids binary, places binary")
@@ -322,9 +359,10 @@ def _ordered(doc, begin, left, count, key, data):
     return doc[order], begin[order], left[order], count[order], key[order], data[inside + np.repeat(start[order], size)]
 
 
-def _parts(spark: SparkSession) -> int:
-    """How many parts data are dealt to: they follow the session's shuffle partitions, which follow the input."""
-    return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def parts_of(docs: DataFrame) -> int:
+    """How many parts the texts are dealt to: one for PART_BYTES of text, so that a part's size stays the same."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(16, -(-size // PART_BYTES))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -335,15 +373,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     binary, as a cut can fall within a character. Null or empty texts, and texts of under 100 bytes, stay as they
     are (null as empty). Repeated doc_ids count once, with their smallest text; other columns are ignored.
     """
-    parts = _parts(docs.sparkSession)
-    deal = _dealer(parts)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = (mix(batch.column("doc_id").to_numpy().view(U64)) % U64(parts)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column("doc_id"), batch.column("text")], names=["part", "doc_id", "text"])
+    docs = one_per_id(docs, "doc_id", "text")
+    parts = parts_of(docs)
 
-    docs = one_per_id(docs, "doc_id", "text").mapInArrow(place, "part int, doc_id long, text string")
+    docs = docs.select(_part_column(F.col("doc_id"), parts).alias("part"), "doc_id", "text")
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
 
     def cut(_key, texts: pa.Table, found: pa.Table) -> pa.Table:
@@ -370,7 +403,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 x.append(v)
         return pa.table([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
 
-    return docs.groupBy("part").cogroup(repeated_spans(docs).groupBy("part")).applyInArrow(cut, "doc_id long, text binary, n_bytes long, n_removed long, n_spans long")
+    return docs.groupBy("part").cogroup(repeated_spans(docs, parts).groupBy("part")).applyInArrow(cut, "doc_id long, text binary, n_bytes long, n_removed long, n_spans long")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
