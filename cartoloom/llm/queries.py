@@ -9,6 +9,7 @@ from .katz import op4_katz_scores
 from .langid import op8_language_id
 from .near_dedup import op1_near_dedup
 from .pii import op3_personal_data
+from .secrets import op5_secret_scan
 from .sentencepiece import op2_sentencepiece
 from .substring_dedup import op7_substring_dedup
 from .topk import op6_exact_top_k
@@ -20,6 +21,7 @@ QUERIES = {
         op2_sentencepiece,
         op3_personal_data,
         op4_katz_scores,
+        op5_secret_scan,
         op6_exact_top_k,
         op7_substring_dedup,
         op8_language_id,
