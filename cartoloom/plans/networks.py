@@ -134,20 +134,27 @@ def strong_components(spark, sf_dir):
 
 
 def multi_source_dijkstra(spark, sf_dir):
-    edge, _ = _arcs(spark, sf_dir)
-    arcs = edge.select("u", "v", F.round("length").cast("long").alias("cost")).union(edge.select("v", "u", F.round("length").cast("long")))
-    sources = edge.select(F.col("u").alias("node")).distinct().where("node % 25 = 0").select("node", F.col("node").alias("source"), (F.col("node") % 700).cast("long").alias("offset"))
+    edge = n.saved(_numbered(spark, sf_dir).select("u", "v", F.round("length").cast("long").alias("cost")))
+    arcs = edge.union(edge.select("v", "u", "cost"))
+    sources = edge.select(F.col("u").alias("node")).distinct().select("node", F.col("node").alias("source"), (F.col("node") % 700).cast("long").alias("offset"))
     return n.nearest_sources(arcs.where("u <> v"), sources, 200_000)
 
 
 query("", None)(multi_source_dijkstra)
 
 
+def _reached(spark, sf_dir, limit):
+    """All edges that the first node of their component reaches within ``limit``, with it as their source and area."""
+    edge = n.saved(_numbered(spark, sf_dir).select("e", "u", "v", "length"))
+    sources = n.weak_components(edge).select(F.col("root").alias("node"), F.col("root").alias("source"), F.lit(0.0).alias("offset")).distinct()
+    arcs = edge.where("u <> v").select("u", "v", F.col("length").alias("cost"))
+    reach = n.nearest_sources(arcs.union(arcs.select("v", "u", "cost")), sources, limit)
+    ends = edge.join(reach.select(F.col("node").alias("u"), "source"), "u").join(reach.select(F.col("node").alias("v")), "v")
+    return ends.select(F.col("source").alias("area"), "source", "e", "u", "v", "length")
+
+
 def round_walks(spark, sf_dir):
-    edge, _ = _arcs(spark, sf_dir)
-    roots = n.weak_components(edge)
-    network = edge.join(roots, edge.u == roots.node).select(F.col("root").alias("area"), F.col("root").alias("source"), "e", "u", "v", "length")
-    return n.round_walks(network, "area", limit=500_000.0, longest=1_000_000.0)
+    return n.round_walks(_reached(spark, sf_dir, 500_000.0), "area", limit=500_000.0, longest=1_000_000.0)
 
 
 query("", None)(round_walks)
@@ -190,10 +197,34 @@ def short_gap_ways(spark, sf_dir):
 
 
 def best_walks(spark, sf_dir):
-    edge, _ = _arcs(spark, sf_dir)
-    roots = n.weak_components(edge)
-    rows = edge.join(roots, edge.u == roots.node).select(F.col("root").alias("area"), F.col("root").alias("source"), "e", "u", "v", "length", (F.col("e") % 3 > 0).alias("popular"), (F.col("e") % 5 > 0).alias("offroad"))
+    rows = _reached(spark, sf_dir, 500_000.0).withColumns({"popular": F.col("e") % 3 > 0, "offroad": F.col("e") % 5 > 0})
     return n.best_walks(rows, "area", limit=500_000.0, longest=1_000_000.0)
 
 
 query("", None)(best_walks)
+
+
+# The queries above whose SQL names the sparse graph (way_id % 40 = 0) answer that SQL; these run on every way.
+
+
+def weak_components_whole(spark, sf_dir):
+    return n.weak_components(_numbered(spark, sf_dir).select("u", "v"))
+
+
+def component_filter_whole(spark, sf_dir):
+    edge = n.saved(_numbered(spark, sf_dir).select("way_id", "edge", "u", "v"))
+    return n.large_components(edge, n.weak_components(edge), 50).select("way_id", "edge")
+
+
+def strong_components_whole(spark, sf_dir):
+    edge = n.saved(_numbered(spark, sf_dir).select("way_id", "u", "v"))
+    return n.strong_components(edge.select("u", "v").union(edge.where("way_id % 80 = 0").select("v", "u")))
+
+
+def snap_grid_whole(spark, sf_dir):
+    at = n.points_of_edges(derived(spark, sf_dir, "way_nodes")).join(derived(spark, sf_dir, "nodes"), "ref")
+    return n.snap_cells(at.select((F.col("way_id") * 64 + F.col("edge")).alias("e"), "seq", "lat_e7", "lon_e7"))
+
+
+for _whole in (weak_components_whole, component_filter_whole, strong_components_whole, snap_grid_whole):
+    query("", None)(_whole)
