@@ -34,8 +34,6 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 5
 #: Elements nested deeper than this are read as if their tags were not there; their text stays in place.
 DEPTH = 120
-#: The share of its parent's varying text that a node must hold to be entered on the way to the content slot.
-SLOT_SHARE = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.S)
 _ATTR = re.compile(r"(class|id|role|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|$)", re.I)
@@ -258,6 +256,11 @@ def aligned(model: Node, page: Node) -> list[tuple[Node, Node]]:
     return pairs
 
 
+def _size(node: Node) -> int:
+    """Length of a node's text without spaces, so that a node's is the sum of its children's and its own."""
+    return len(whole_text(node).replace(" ", "").replace("\n", ""))
+
+
 def evidence(model: Node, page: Node) -> dict[int, tuple[int, int, int]]:
     """What one page says of the model's nodes: (number, aligned, same text, length of its text)."""
     out = {}
@@ -265,14 +268,15 @@ def evidence(model: Node, page: Node) -> dict[int, tuple[int, int, int]]:
         if b.other:
             out[a.number] = (1, int(whole_text(a) == whole_text(b)), 0)
         else:
-            out[a.number] = (1, int(whole_text(a) == whole_text(b)), len(whole_text(b)))
+            out[a.number] = (1, int(whole_text(a) == whole_text(b)), _size(b))
     return out
 
 
 def wrapper(model: Node, seen: dict[int, tuple[int, int, int]]) -> tuple[int, list[int]]:
     """(slot, constant): number of the node that holds the varying content, and the template's nodes in it.
 
-    The way to the slot enters the child with most of the varying text, but no unit of text, and ends at an article.
+    The slot is the lowest node that holds all varying text of all pages; the way to it enters no unit of text, and
+    ends at an article (extract takes the articles beside it).
     """
     nodes = numbered(model)
 
@@ -280,15 +284,17 @@ def wrapper(model: Node, seen: dict[int, tuple[int, int, int]]) -> tuple[int, li
         pages, same, _ = seen.get(n.number, (0, 0, 0))
         return pages >= CONSTANT_PAGES and same >= CONSTANT_SHARE * pages and bool(whole_text(n))
 
-    def mass(n: Node) -> int:
-        return 0 if n.other or constant(n) else seen.get(n.number, (0, 0, 0))[2]
+    def size(n: Node) -> int:
+        return 0 if n.other else seen.get(n.number, (0, 0, 0))[2]
 
     node = model
     while node.tag not in SLOTS:
-        marked = [k for k in elements(node) if k.tag in SLOTS and not k.other and seen.get(k.number)]
-        kids = marked or [k for k in elements(node) if k.tag not in UNITS and not k.other and k.number >= 0]
-        top = max(kids, key=mass, default=None)
-        if top is None or not marked and mass(top) < SLOT_SHARE * max(1, mass(node)):
+        inside = [k for k in elements(node) if not k.other and k.number >= 0]
+        marked = [k for k in inside if k.tag in SLOTS and seen.get(k.number)]
+        varying = [k for k in inside if size(k) and not constant(k)]
+        template = sum(size(k) for k in inside if constant(k))
+        top = max(marked, key=size, default=None) or (varying[0] if len(varying) == 1 and varying[0].tag not in UNITS else None)
+        if top is None or not marked and size(top) + template < size(node):  # else text beside it, or nodes that only other pages have
             break
         node = top
     return node.number, [n.number for n in nodes if constant(n) and n is not node and n is not model and (n.tag in UNITS or n.tag in ("div", "section", "ul", "ol", "table", "header", "p"))]
@@ -301,7 +307,7 @@ def extract(source: str | None, model: Node | None, slot: int, constant: set[int
     page = parse(source)
     if model is None:
         model = page
-        slot, own = wrapper(page, {n.number: (1, 0, 0 if n.other else len(whole_text(n))) for n in numbered(page)})
+        slot, own = wrapper(page, {n.number: (1, 0, 0 if n.other else _size(n)) for n in numbered(page)})
         constant = set(own)
     there, template = None, set()
     for a, b in aligned(model, page):
@@ -312,7 +318,11 @@ def extract(source: str | None, model: Node | None, slot: int, constant: set[int
     if there is None or there.tag == "#":
         first = next((n for n in numbered(page) if n.tag in SLOTS and not n.other), None)
         there = first or there or page
-    return "\n".join(blocks(there, template))
+    found = [there]
+    if there.tag in SLOTS:
+        beside = next((elements(n) for n in numbered(page) if any(k is there for k in elements(n))), found)
+        found = [k for k in beside if k.tag in SLOTS and not k.other or k is there]
+    return "\n".join(b for slot_node in found for b in blocks(slot_node, template))
 
 
 def host_of(url: str) -> Column:
@@ -324,8 +334,8 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
 
     The model tree of a host is that of its first page (smallest page_id with html). Every page of the host is
     aligned with it by simple tree matching, and what all of them say of each node (aligned, same text, length of
-    text) is summed before the shuffle: nodes with the same text on nearly all pages are template, and the subtree
-    with most of the varying text is the slot of the content. A second pass aligns each page again and takes the
+    text) is summed before the shuffle: nodes with the same text on nearly all pages are template, and the lowest subtree
+    with all of the varying text is the slot of the content (articles side by side are one slot). A second pass aligns each page again and takes the
     slot's blocks, without the template's and without elements that by name, class or role are no part of an article.
 
     A host with one page, a null url, or a page that the wrapper doesn't fit go by their own tree in the same way.

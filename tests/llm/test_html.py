@@ -52,3 +52,23 @@ def test_odd_pages(spark):
 def test_tree_matching():
     a, b = (html.parse(x) for x in ("<div><ul><li>1</li></ul><section><p>x</p></section></div>", "<div><section><p>y</p><p>z</p></section></div>"))
     assert html.tree_match(a, b, None) == 4
+
+
+def test_title_and_lead_outside_the_body(spark):
+    words = "amber birch cedar delta ember flint grove heath".split()
+    rows = [
+        (i, f"http://lead.example/{i}", f"<html><body><div><p>All rights kept by the site</p></div><div><h1>{w} title</h1><div><p>{w} lead</p></div><div><p>{f'{w} body ' * 20}</p></div></div></body></html>")
+        for i, w in enumerate(words)
+    ]
+    got = {r.page_id: r.text for r in html.main_text(pages_of(spark, rows), Staging(spark, "t")).collect()}
+    for i, w in enumerate(words):
+        assert got[i] == "\n".join([f"{w} title", f"{w} lead", (f"{w} body " * 20).strip()])
+
+
+def test_articles_side_by_side(spark):
+    page = lambda i, n: "<body>" + "".join(f"<article><p>text {i} {j}</p></article>" for j in range(n)) + "</body>"
+    rows = [(i, "http://many.example/", page(i, 1 + i % 3)) for i in range(9)] + [(99, "http://alone.example/", page(99, 3))]
+    got = {r.page_id: r.text for r in html.main_text(pages_of(spark, rows), Staging(spark, "t")).collect()}
+    for i in range(9):
+        assert got[i] == "\n".join(f"text {i} {j}" for j in range(1 + i % 3))
+    assert got[99] == "text 99 0\ntext 99 1\ntext 99 2"
