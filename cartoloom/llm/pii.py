@@ -17,8 +17,8 @@ PATTERNS = {
 }
 #: What may be an identifier that no base pattern knows: tokens with a digit, joined by single spaces.
 CANDIDATE = r"(?<![\w.%+@/#()-])(?=[A-Za-z._%+@/#()-]*+[0-9])[\w.%+@/#()-]++(?:\x20(?=[A-Za-z._%+@/#()-]*+[0-9])[\w.%+@/#()-]++)*+"
-#: A context counts once so many different identifiers of a kind stand in it, and so much of what stands in it is of
-#: that kind; that many rounds of scores pass between contexts and identifiers.
+#: A context counts once so many different identifiers of a kind stand in it, and so much of what stands in it, but for
+#: unknown candidates that may be of that kind, is of it; that many rounds of scores pass between contexts and identifiers.
 SUPPORT, CONFIDENCE, ROUNDS = 5, 0.9, 3
 
 
@@ -89,8 +89,10 @@ def _contexts(rows: DataFrame) -> DataFrame:
 def bootstrap(found: DataFrame, staging: Staging) -> DataFrame:
     """doc_id, kind, start, end: identifiers that contexts of base matches point to.
 
-    Contexts and identifiers form a two-sided graph. A context's score for a kind is the share of all that stands in
-    it that is held to be of that kind; it speaks only once SUPPORT different values back it with CONFIDENCE. A
+    Contexts and identifiers form a two-sided graph. A context's score for a kind is the share of what is held to be
+    of that kind in what is held so or contradicts it: identifiers of other kinds, and candidates whose shape it cannot
+    be. Unknown candidates of a fitting shape count neither way. A context speaks only once SUPPORT different values
+    back it with CONFIDENCE. A
     candidate takes the kind of its best such context, if its shape allows, and counts for its contexts in the next
     round. Rounds are joins and sums that combine before the shuffle, so a context as frequent as 'the' is one row
     for each task. Candidates that overlap a base match are none.
@@ -103,12 +105,13 @@ def bootstrap(found: DataFrame, staging: Staging) -> DataFrame:
     free = free.withColumn("shapes", F.array_compact(shapes))
     base = base.withColumn("shapes", F.array().cast("array<string>"))
     edges = staging.save(_contexts(free.unionByName(base)), "edges")
-    total = edges.groupBy("context").agg(F.count(F.lit(1)).alias("all"))
+    against = lambda k: F.when(F.col("kind") == "", ~F.array_contains("shapes", k)).otherwise(F.col("kind") != k)
+    total = edges.groupBy("context").agg(F.map_from_arrays(F.array(*map(F.lit, PATTERNS)), F.array(*(F.count_if(against(k)) for k in PATTERNS))).alias("against"))
     held = edges.where("kind <> ''").select("doc_id", "start", "end", "kind", "value", "context")
     taken = None
     for turn in range(ROUNDS):
         score = held.groupBy("context", "kind", "value").agg(F.count(F.lit(1)).alias("c")).groupBy("context", "kind").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("values"))
-        good = score.where(F.col("values") >= SUPPORT).join(total, "context").withColumn("score", F.col("c") / F.col("all")).where(F.col("score") >= CONFIDENCE)
+        good = score.where(F.col("values") >= SUPPORT).join(total, "context").withColumn("score", F.col("c") / (F.col("c") + F.col("against")[F.col("kind")])).where(F.col("score") >= CONFIDENCE)
         good = staging.save(good.select("context", F.col("kind").alias("as"), "score"), f"contexts{turn}")
         best = edges.where("kind = ''").join(good, "context").where(F.array_contains("shapes", F.col("as")))
         best = best.groupBy("doc_id", "start", "end").agg(F.max(F.struct("score", "as")).alias("top"))

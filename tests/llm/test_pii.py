@@ -79,3 +79,17 @@ def test_redaction(spark):
     assert sorted((r.doc_id, r.text, r.extra) for r in pii.redacted(docs, spans).collect() if r.text) == [(1, "mail <email> now", 5), (3, "none", 7)]
     assert pii.redacted(docs, spans).columns == docs.columns
     assert pii.personal_data(docs.limit(0), Staging(spark, "t")).count() == 0
+
+
+def test_contexts_where_half_is_unseen(spark):
+    words = "red blue green grey pink brown white black".split()
+    rows = [(i, f"{words[i % 8]} call phone: +1 (9{i:02d}) 555-{2000 + i} now") for i in range(40)]
+    rows += [(100 + i, f"{words[i % 8]} call phone: 555-77{i:02d} now") for i in range(40)]
+    rows += [(200 + i, f"{words[i % 8]} size was: +1 (8{i:02d}) 555-{3000 + i} or") for i in range(40)]
+    rows += [(300 + i, f"{words[i % 8]} size was: {i + 10} or") for i in range(40)] + [(400, "red size was: 555-8899 or")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(docs, pii.personal_data(docs, Staging(spark, "t"))).collect()}
+    for i in range(40):
+        at = rows[40 + i][1].index("555-")
+        assert got[100 + i] == f"phone:{at}:{at + 8}"
+    assert all(got[i] == "" for i in (*range(300, 340), 400))
