@@ -15,8 +15,11 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What may be an identifier that no base pattern knows: tokens with a digit, joined by single spaces.
-CANDIDATE = r"(?<![\w.%+@/#()-])(?=[A-Za-z._%+@/#()-]*+[0-9])[\w.%+@/#()-]++(?:\x20(?=[A-Za-z._%+@/#()-]*+[0-9])[\w.%+@/#()-]++)*+"
+#: What may be an identifier that no base pattern knows: a token with '@' or '(at)' inside, or tokens with a digit,
+#: joined by single spaces.
+_MAIL = r"(?=[\w.%+/#()-]*?[\w.%+-](?:@|\(at\))\w)"
+_DIGIT = r"(?=[A-Za-z._%+@/#()-]*+[0-9])"
+CANDIDATE = rf"(?<![\w.%+@/#()-])(?:{_MAIL}[\w.%+@/#()-]++|{_DIGIT}[\w.%+@/#()-]++(?:\x20(?!{_MAIL}){_DIGIT}[\w.%+@/#()-]++)*+)"
 #: A context counts once so many different identifiers of a kind stand in it, and so much of what stands in it, but for
 #: unknown candidates that may be of that kind, is of it; that many rounds of scores pass between contexts and identifiers.
 SUPPORT, CONFIDENCE, ROUNDS = 5, 0.9, 3
@@ -74,7 +77,7 @@ def instances(docs: DataFrame) -> DataFrame:
     gate = {"email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+")), "ip": F.col("text").rlike(r"[0-9]\.[0-9]")}
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,value:string,left:string>>")
     found = [F.when(gate.get(kind, F.col("text").rlike("[0-9]")), _matches(F.col("text"), kind, pattern)).otherwise(empty) for kind, pattern in PATTERNS.items()]
-    found.append(F.when(F.col("text").rlike("[0-9]"), _matches(F.col("text"), "", CANDIDATE)).otherwise(empty))
+    found.append(F.when(F.col("text").rlike(r"[0-9@]|\(at\)"), _matches(F.col("text"), "", CANDIDATE)).otherwise(empty))
     rows = texts.select("doc_id", F.explode(F.concat(*found)).alias("x")).select("doc_id", "x.*")
     return rows.withColumn("valid", _is_valid()).where("valid").drop("valid")
 

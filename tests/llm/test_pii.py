@@ -93,3 +93,14 @@ def test_contexts_where_half_is_unseen(spark):
         at = rows[40 + i][1].index("555-")
         assert got[100 + i] == f"phone:{at}:{at + 8}"
     assert all(got[i] == "" for i in (*range(300, 340), 400))
+
+
+def test_addresses_without_digits(spark):
+    words = "red blue green grey pink brown white black".split()
+    rows = [(i, f"write mail: {words[i % 8]}{i}@example.org now") for i in range(40)]
+    rows += [(100 + i, f"write mail: {w}.doe(at)example.org 555-1234 now") for i, w in enumerate(words)] + [(200, "write mail: root@localhost now"), (201, "meet @ noon (at) home @handle now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(docs, pii.personal_data(docs, Staging(spark, "t"))).collect()}
+    for i, w in enumerate(words):
+        assert got[100 + i] == f"email:12:{12 + len(w) + 19}"
+    assert got[200] == "email:12:26" and got[201] == ""
