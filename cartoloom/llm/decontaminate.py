@@ -24,8 +24,8 @@ def _grams(k: int) -> Column:
 
 
 def _hashed(rows: DataFrame, key: str) -> DataFrame:
-    """key, h: hashes of the words. ``lower`` folds more than A-Z, so equal words stay equal and none is missed."""
-    return rows.select(key, _words(F.lower("text")).alias("w")).select(key, F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    """key, h: hashes of the words, folded as _windows does: ``lower`` depends on context (Greek sigma)."""
+    return rows.select(key, _words(F.translate("text", _UPPER, _LOWER)).alias("w")).select(key, F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
 
 
 def fingerprints(rows: DataFrame, key: str) -> DataFrame:

@@ -53,3 +53,9 @@ def test_planted_passages(spark, odd_documents):
     assert rows(d.contamination(odd_documents, bench, Staging(spark, "t"))) == brute(odd, items)
     assert rows(d.contamination(docs, bench.limit(0), Staging(spark, "t"))) == brute(texts, [])
     assert d.contamination(docs.limit(0), bench, Staging(spark, "t")).count() == 0
+
+
+def test_equal_words_hash_equally_whatever_follows(spark):
+    rows = spark.createDataFrame([(1, "ΟΔΟΣ.α Beta"), (2, "ΟΔΟΣ α bETA")], "doc_id long, text string")
+    a, b = (r.h for r in d._hashed(rows, "doc_id").orderBy("doc_id").collect())
+    assert a == b and len(a) == 3
