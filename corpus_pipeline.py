@@ -5,6 +5,8 @@ Each stage is judged on its own input and returns the columns of documents; the
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +22,31 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 
 def unique_rows(docs: DataFrame) -> DataFrame:
-    """Documents with one row for each doc_id; of differing rows of an id the smallest stays."""
+    """Documents with one row for each doc_id; of differing rows of an id the smallest stays (see null_ids_kept for null)."""
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
         return docs
     rest = [c for c in docs.columns if c != "doc_id"]
     return docs.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*").select(*docs.columns)
 
 
+def null_ids_kept(stage):
+    """A stage that takes each document without a doc_id as one of its own, after all others; its id stays null.
+
+    Rows without an id that are alike in every column are one document.
+    """
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if docs.where("doc_id IS NULL").isEmpty():
+            return stage(spark, docs, sf_dir)
+        own = F.lit(1 << 62) + F.xxhash64(*(F.col(c) for c in docs.columns if c != "doc_id")).bitwiseAND((1 << 62) - 1)
+        named = docs.withColumn("_no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), own))
+        out = stage(spark, named, sf_dir)
+        return out.withColumn("doc_id", F.when(~F.col("_no_id"), F.col("doc_id")).cast(docs.schema["doc_id"].dataType)).drop("_no_id")
+
+    return run
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that language identification rejects; the model learns from the labelled ones."""
     model = trained(docs)
@@ -34,6 +54,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
+@null_ids_kept
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates (five words, 0.8)."""
     docs = unique_rows(docs)
@@ -41,6 +62,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.join(found.where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
 
 
+@null_ids_kept
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are contaminated with passages of the benchmark."""
     docs = unique_rows(docs)
@@ -48,6 +70,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
+@null_ids_kept
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by the names of their kinds; n_chars follows the text. No document goes."""
     docs = unique_rows(docs)

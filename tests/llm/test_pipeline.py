@@ -54,3 +54,22 @@ def test_odd_rows(spark, odd_documents, small):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate(spark, docs, small).collect()) == [1, 2, 3, 4, 6, 8, 10, 11, 12]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), small).count() == 0
+
+
+def without_ids(spark, odd_documents):
+    texts = ["quiet rivers carry cold water to the wide sea", "call me at a@b.co when seven lanterns burn", "alpha beta gamma delta"]
+    return texts, odd_documents.where("doc_id < 8").unionByName(spark.createDataFrame([(None, t, "en", 0, 1, "k", 0) for t in texts], odd_documents.schema))
+
+
+def test_private_without_id(spark, odd_documents, small):
+    texts, docs = without_ids(spark, odd_documents)
+    out = corpus_pipeline.private(spark, docs, small)
+    assert out.columns == docs.columns
+    assert sorted(r.text for r in out.collect() if r.doc_id is None) == sorted([texts[0], "call me at <email> when seven lanterns burn", texts[2]])
+
+
+def test_near_duplicates_without_id(spark, odd_documents, small):
+    texts, docs = without_ids(spark, odd_documents)
+    kept = corpus_pipeline.near_duplicate(spark, docs, small).collect()
+    assert sorted(r.text for r in kept if r.doc_id is None) == sorted(texts[:2])
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 2, 3, 4, 6]
