@@ -57,5 +57,29 @@ def test_planted_passages(spark, odd_documents):
 
 def test_equal_words_hash_equally_whatever_follows(spark):
     rows = spark.createDataFrame([(1, "ΟΔΟΣ.α Beta"), (2, "ΟΔΟΣ α bETA")], "doc_id long, text string")
-    a, b = (r.h for r in d._hashed(rows, "doc_id").orderBy("doc_id").collect())
+    a, b = (r.g for r in d._grams(d.runs(rows, "doc_id"), "doc_id", 1).orderBy("doc_id").collect())
     assert a == b and len(a) == 3
+
+
+def test_passages_across_the_ends_of_runs(spark):
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    items = [(1, " ".join(some(13))), (2, " ".join(some(40))), (3, " ".join(some(6))), (4, " ".join(some(2)))]
+    texts = {}
+    for i, at in enumerate((d.RUN - 40, d.RUN - 13, d.RUN - 12, d.RUN - 1, d.RUN, 2 * d.RUN - 7, 5 * d.RUN - 3, 0)):
+        for item, text in items:
+            own = text.split()
+            texts[10 * i + item] = " ".join([*some(at), *own, *some((i * 700) % 2100)])
+    texts[99] = " ".join(some(d.RUN + 12))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert rows(d.contamination(docs, bench, Staging(spark, "t"))) == brute(texts, items)
+
+
+def test_a_passage_that_many_items_and_documents_share(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    items = [(i, passage if i % 2 else f"{passage} end{i}") for i in range(40)]
+    texts = {i: f"a b {passage} c{i} " * 3 for i in range(50)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert rows(d.contamination(docs, bench, Staging(spark, "t"))) == brute(texts, items)
