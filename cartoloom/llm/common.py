@@ -126,16 +126,29 @@ def word_spans(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple
     return starts, ends - starts, per_text
 
 
+#: Bytes whose terms a hash adds up at once; bounds a worker's memory, never the words that are hashed.
+HASH_BYTES = 1 << 20
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     """A 64-bit hash of each span; ``values`` maps a byte to its value (fold case there)."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    first = np.cumsum(lengths) - lengths
-    at = np.arange(int(lengths.sum()), dtype=np.int64)
-    inside = at - np.repeat(first, lengths)
-    terms = values[data[inside + np.repeat(starts, lengths)]]
-    terms *= powers(int(lengths.max()))[inside]
-    return mix(np.add.reduceat(terms, first) + lengths.astype(U64))
+    out = np.zeros(len(starts), U64)
+    ends = np.cumsum(lengths)
+    lo = 0
+    while lo < len(starts):
+        done = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + HASH_BYTES, "right")))
+        size, first = lengths[lo:hi], ends[lo:hi] - lengths[lo:hi] - done
+        at = np.arange(int(size.sum()), dtype=np.int64)
+        inside = at - np.repeat(first, size)
+        terms = values[data[inside + np.repeat(starts[lo:hi], size)]]
+        terms *= powers(int(size.max()))[inside]
+        terms ^= terms >> U64(32)  # a plain polynomial modulo 2**64 is blind to some pairs of long words (Thue-Morse)
+        terms *= U64(0x9E3779B97F4A7C15)
+        terms ^= terms >> U64(29)
+        out[lo:hi] = mix(np.add.reduceat(terms, first) + size.astype(U64))
+        lo = hi
+    return out
 
 
 FOLDED_VALUES = BYTE_VALUES[LOWER]

@@ -10,15 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FOLDED_VALUES, SPACED, U64, Staging, chunks, mix, one_per_id, table, word_hashes, word_spans
+from .common import FOLDED_VALUES, SPACED, U64, Staging, chunks, mix, one_per_id, release, table, word_hashes, word_spans
 
 #: Counts up to this are discounted by Good-Turing; larger ones lose TAIL, so that every context keeps mass to back off.
 LOW, TAIL = 5, 0.01
-#: Bytes of text that share one block of the corpus: one row of the token table, one sender of counts.
-BLOCK_BYTES = 12 << 20
+#: Bytes of text that share one block of the corpus (one row of the token table, one sender of counts), and bytes of
+#: text for one part of the count tables, so that a part's size stays the same.
+BLOCK_BYTES, PART_BYTES = 12 << 20, 8 << 20
 #: Stands for the end of a text, and as a context for its start.
 END = U64(0xE4D0F7E87A11C0DE)
-_KEY = U64((1 << 48) - 1)
+#: Bits of a pair's key besides its part.
+_KEY = U64((1 << 56) - 1)
 
 
 def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
@@ -122,7 +124,9 @@ def token_blocks(docs: DataFrame) -> DataFrame:
                 tokens[inside] = word_hashes(data, starts, lengths, FOLDED_VALUES)
                 words, at = np.unique(tokens, return_inverse=True)
                 row = (int(ids[lo]), ids[lo:hi].tobytes(), held[lo:hi].astype(bool).tobytes(), counts.astype(np.int64).tobytes(), words.tobytes(), pa.compress(at.astype(np.uint32).tobytes(), codec="zstd", asbytes=True))
+                del starts, lengths, tokens, inside, at
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, columns.values(), strict=True)], names=list(columns))
+            release()
 
     return docs.select("doc_id", "text", "held").mapInArrow(pack, "src long, ids binary, held binary, counts binary, words binary, tokens binary")
 
@@ -155,7 +159,7 @@ def counted(blocks: DataFrame, parts: int) -> DataFrame:
 
     Blocks send every distinct token (parts 0 ..) and pair (parts ``parts`` ..) with its count in training texts to
     the part of its key: a key, however frequent, is one entry for a block. totals hold 2 * count, plus 1 for the one
-    block that a pair is assigned to, in the order sent. A pair's key has 48 bits besides its part.
+    block that a pair is assigned to, in the order sent. A pair's key has 56 bits besides its part.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +193,8 @@ def counted(blocks: DataFrame, parts: int) -> DataFrame:
         low = np.bincount(np.minimum(found, LOW + 2), minlength=LOW + 3)[1 : LOW + 2]
         out = [(r["src"], part, _pack(_narrow(reply[e - len(k) : e])), *[None] * (LOW + 3)) for r, k, e in zip(rows, keys, ends.tolist(), strict=True)]
         out.append((None, part, None, *map(int, low), int(found.sum()), len(found)))
+        del keys, own, first, at, total
+        release()
         return pa.table([pa.array([o[i] for o in out], f.type) for i, f in enumerate(kind)], schema=kind)
 
     sent = blocks.mapInArrow(send, "part int, src long, low binary, high binary, own binary")
@@ -222,7 +228,8 @@ def scored(docs: DataFrame, staging: Staging) -> DataFrame:
     the vocabulary goes to the driver or to all tasks: only the totals, LOW + 3 numbers a level, do. Null or empty
     texts are one end; with nothing to learn from, scores are 0. Repeated doc_ids must have been dropped.
     """
-    parts = max(16, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(16, -(-size // PART_BYTES))
     blocks = staging.save(token_blocks(docs), "blocks")
     replies = staging.save(counted(blocks, parts), "replies")
     level = (F.col("part") >= parts).cast("int")
@@ -250,7 +257,8 @@ def scored(docs: DataFrame, staging: Staging) -> DataFrame:
             part = (block.words[some] >> U64(33)).astype(np.int64) * parts >> 31
             for p, s in _cut(part):
                 at = some[s]
-                rows.append((p, row["src"], block.words[at].tobytes(), lost[at].astype(np.float32).tobytes(), seen[at].astype(np.float32).tobytes(), _pack(want[at].astype(np.uint8))))
+                rows.append((p, row["src"], block.words[at].tobytes(), lost[at].tobytes(), seen[at].tobytes(), _pack(want[at].astype(np.uint8))))
+        release()
         return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(asked)], schema=asked)
 
     answered = pa.schema([("src", pa.int64()), ("part", pa.int32()), ("totals", pa.binary())])
@@ -259,7 +267,7 @@ def scored(docs: DataFrame, staging: Staging) -> DataFrame:
         rows = table.to_pylist()
         keys = [np.frombuffer(r["keys"], U64) for r in rows]
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
-        lost, seen = (np.bincount(at, np.concatenate([np.frombuffer(r[c], np.float32) for r in rows]).astype(float)) for c in ("lost", "seen"))
+        lost, seen = (np.bincount(at, np.concatenate([np.frombuffer(r[c], float) for r in rows])) for c in ("lost", "seen"))
         out, lo = [], 0
         for r, k in zip(rows, keys, strict=True):
             want = _unpack(r["want"]).astype(bool)
@@ -291,6 +299,7 @@ def scored(docs: DataFrame, staging: Staging) -> DataFrame:
             begin = np.cumsum(block.counts) - block.counts
             add = lambda x: np.add.reduceat(x, begin)
             out.append(pa.table([pa.array(block.ids), pa.array(block.held), pa.array(block.counts), pa.array(add((ones > 0).astype(np.int64)[block.tokens])), pa.array(np.full(len(block.ids), levels.tokens)), pa.array(add(base[block.tokens])), pa.array(add(of_pair[block.pair]))], schema=final))
+        release()
         return pa.concat_tables(out) if out else final.empty_table()
 
     by_block = blocks.groupBy("src")
