@@ -104,3 +104,42 @@ def test_addresses_without_digits(spark):
     for i, w in enumerate(words):
         assert got[100 + i] == f"email:12:{12 + len(w) + 19}"
     assert got[200] == "email:12:26" and got[201] == ""
+
+
+def test_sums_of_long_arrays(spark):
+    from pyspark.sql import functions as F
+
+    for n in (0, 1, 63, 64, 65, 4096, 10_000):
+        row = spark.range(1).select(pii.running_sums(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("long")) if n else F.array().cast("array<long>")).alias("s")).first()
+        assert row.s == [i * (i + 1) // 2 for i in range(1, n + 1)]
+
+
+def test_a_text_of_many_numbers(spark):
+    text = " ".join(f"call {i} phone: +1 (988) 555-{1000 + i % 9000} x{i}@b.co" for i in range(30_000))
+    docs = spark.createDataFrame([(1, text), (2, "\U0001f600" * 5000 + "a@b.co" + "é" * 4090 + " 1.2.3.4")], "doc_id long, text string")
+    spans = pii.personal_data(docs, Staging(spark, "t"))
+    check(pii.digest(docs, spans).collect(), {r.doc_id: r.text for r in docs.collect()})
+    got = {r.doc_id: r.text for r in pii.redacted(docs, spans.where("base")).collect()}
+    for r in docs.collect():
+        want, at = [], 0
+        for k, s, e in sorted(base(r.text), key=lambda x: x[1:]):
+            if s >= at:
+                want.append(r.text[at:s] + f"<{k}>")
+            at = max(at, e)
+        assert got[r.doc_id] == "".join(want) + r.text[at:]
+
+
+def test_clashing_names(spark):
+    names = ["cut", "cuts", "row", "run", "start", "end", "kind", "words", "left", "value"]
+    docs = spark.createDataFrame([(1, "mail a@b.co now", *names), (None, "x", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = pii.redacted(docs, pii.personal_data(docs, Staging(spark, "t")))
+    assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} == {(1, "mail <email> now", *names), (None, "x", *names)}
+
+
+def test_contexts_are_those_of_the_text(spark):
+    docs = spark.createDataFrame([(1, "tel 12 id=+1 (988) 555-2485; and ref 7 x")], "doc_id long, text string")
+    got = {r.value: (r.left, r.right) for r in pii.instances(docs).collect()}
+    assert got["+1 (988) 555-2485"] == (["id=", "12"], ";")
+    assert got["12"] == (["tel"], "id=+1")
+    assert got["7"] == (["ref", "and"], "x")
