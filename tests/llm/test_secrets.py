@@ -4,6 +4,7 @@ import base64
 import random
 
 from cartoloom.llm import queries, secrets
+from cartoloom.llm.common import Staging
 
 R = random.Random(99)
 HEX, MIXED = "0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -35,7 +36,7 @@ def planted():
 def test_planted(spark):
     cases = list(planted())
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
-    got = {r.doc_id: r for r in secrets.scanned(docs).collect()}
+    got = {r.doc_id: r for r in secrets.scanned(docs, Staging(spark, "t")).collect()}
     assert len(got) == len(cases)
     wrong = []
     for i, (text, value) in enumerate(cases):
@@ -55,6 +56,47 @@ def test_every_document_has_a_row(spark, small, odd_documents):
         if 'token = "' in (r.text or ""):
             at = r.text.index('token = "') + 9
             assert f"named:{at}:{at + 40}" in got[r.doc_id].spans.split(",")
-    odd = secrets.scanned(odd_documents.dropDuplicates(["doc_id"]))
+    odd = secrets.scanned(odd_documents.dropDuplicates(["doc_id"]), Staging(spark, "t"))
     assert odd.count() == 12 and {r.n_secrets for r in odd.collect()} == {0}
-    assert secrets.scanned(odd_documents.limit(0)).count() == 0
+    assert secrets.scanned(odd_documents.limit(0), Staging(spark, "t")).count() == 0
+
+
+def plain_vote(tree, features):
+    while not isinstance(tree, float):
+        at, threshold, left, right = tree
+        tree = left if features[at] <= threshold else right
+    return int(tree)
+
+
+def test_features_and_votes_against_plain_ones(spark):
+    cases = list(planted())[:60]
+    docs = spark.createDataFrame([(i, t, "tests/x.py" if i % 2 else None) for i, (t, _) in enumerate(cases)], "doc_id long, text string, path string")
+    grown = secrets.forest(spark)
+    found = secrets.covered(secrets.candidates(docs), secrets.dictionary(docs))
+    names = secrets._features(grown.knows)
+    rows = found.select("*", *(c.cast("double").alias(f"f_{k}") for k, c in names.items())).collect()
+    votes = {(r.doc_id, r.start, r.end): r.votes for r in secrets.secrets(docs, Staging(spark, "t")).collect()}
+    assert len(rows) == len(votes) >= len(cases) // 2
+    for r in rows:
+        text = cases[r.doc_id][0]
+        assert text[r.start : r.end] == r.value
+        codes = [secrets._plain_class(c) for c in r.value]
+        steps = [grown.knows.transitions[a * secrets.CLASSES + b] for a, b in zip(codes, codes[1:], strict=False)]
+        assert abs(r.f_transitions - sum(steps) / max(1, len(steps))) < 1e-9
+        assert abs(r.f_neighbours - sum(grown.knows.words.get(w, 0) for w in set(secrets._plain_words(*r.left, r.right)))) < 1e-9
+        assert r.f_tested == r.doc_id % 2 and r.f_length == len(r.value)
+        assert votes[r.doc_id, r.start, r.end] == sum(plain_vote(t, [r[f"f_{k}"] for k in names]) for t in grown.trees)
+
+
+def test_dictionary_and_coverage(spark):
+    docs = spark.createDataFrame([(i, "Lorem ipsum dolores " * 3 + ("rare " if i == 3 else "")) for i in range(10)] + [(99, None)], "doc_id long, text string")
+    words = {r.word for r in secrets.dictionary(docs).collect()}
+    assert {"lorem", "ipsum", "dolores", *secrets.WORDS} == words | {"user", "name"} and "rare" not in words
+    found = spark.createDataFrame([(1, 0, 9, "loremIpsum12xyzw"), (2, 0, 3, "9999"), (3, 0, 1, "LOREM_lorem")], "doc_id long, start int, end int, value string")
+    assert {r.doc_id: r.known for r in secrets.covered(found, secrets.dictionary(docs)).collect()} == {1: 10, 2: 0, 3: 10}
+
+
+def test_a_text_of_many_candidates(spark):
+    text = " ".join(f'id{i} password = "{"Ab3" * 3}{i}" {i:020d}' for i in range(5000))
+    got = secrets.scanned(spark.createDataFrame([(1, text)], "doc_id long, text string"), Staging(spark, "t")).first()
+    assert got.n_candidates == 10_000
