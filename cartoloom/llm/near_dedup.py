@@ -142,7 +142,9 @@ BLOCK, BLOCKS, BLOCK_BYTES = 128, 64, 16 << 20
 def _dealt(rows: DataFrame, key: str, stray: str, weight: str) -> DataFrame:
     """Rows of each group ``key`` dealt to tasks (key, i, j): strays to block i of all j, all rows to block j of all i.
 
-    Any stray and any other row of its group meet in exactly one task, and no task holds more than two blocks.
+    Any stray and any other row of its group meet in exactly one block (key, i, j) of two sides. Rows are dealt by the
+    whole of that key: a dealing by the group alone, which the joins leave behind, would do for grouping by (key, i, j)
+    too, and would put all blocks of a large group in one task.
     """
     size = rows.groupBy(key).agg(F.count(F.lit(1)).alias("m"), F.sum(F.expr(f"cast({stray} as long)")).alias("s"), F.sum(weight).alias("w"))
     each = F.greatest(F.lit(BLOCK), F.ceil(F.col("m") / BLOCKS))
@@ -152,7 +154,7 @@ def _dealt(rows: DataFrame, key: str, stray: str, weight: str) -> DataFrame:
     deal = F.xxhash64("doc_id")
     left = both.where(stray).withColumn("i", F.pmod(deal, F.col("ni")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)))
     right = both.withColumn("j", F.pmod(deal, F.col("nj")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)))
-    return left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).drop("ni", "nj")
+    return left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).drop("ni", "nj").repartition(key, "i", "j")
 
 
 def _forest(a: list[np.ndarray], b: list[np.ndarray]) -> pa.Table:
@@ -217,7 +219,7 @@ def cross_links(of: DataFrame, docs: DataFrame, staging: Staging, words: int, pe
             a.append(np.full(len(b[-1]), root[x]))
         return _forest(a, b)
 
-    dealt = _dealt(rows, "grp", "stray", "bytes").select("grp", "i", "j", "side", "root", "text")
+    dealt = _dealt(rows.select("grp", "doc_id", "root", "stray", "bytes", "text"), "grp", "stray", "bytes").select("grp", "i", "j", "side", "root", "text")
     return dealt.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
