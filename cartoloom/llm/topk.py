@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,8 +10,10 @@ from pyspark.sql import functions as F
 
 from .common import Staging, table
 
-#: Queries of a block, and candidate vectors scored at once: they bound a task's memory, not the rows that take part.
-QUERY_BLOCK, VECTOR_BLOCK = 512, 2048
+#: Queries and vectors of a block, about, and how many of each are scored at once: they bound a task's memory, not the
+#: rows that take part.
+QUERY_BLOCK, VECTOR_BLOCK = 2048, 8192
+QUERIES_AT_ONCE, VECTORS_AT_ONCE = 256, 2048
 
 
 def postings(vectors: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -69,46 +69,58 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, q array<long>: floor(256 * x) of each component; vectors with null or non-finite ones are left out."""
     good = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & good)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("q")).distinct()
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("q"))
+    if rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        return rows
+    return rows.groupBy("vec_id").agg(F.min("q").alias("q"))
+
+
+def best_of_cell(own: np.ndarray, asked: list[np.ndarray], ids: np.ndarray, vectors: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, vec_id, score): the k best of the vectors for each query, a part of each at a time."""
+    parts = [(ids[lo : lo + VECTORS_AT_ONCE], postings(vectors[lo : lo + VECTORS_AT_ONCE])) for lo in range(0, len(ids), VECTORS_AT_ONCE)]
+    out = []
+    for lo in range(0, len(own), QUERIES_AT_ONCE):
+        some = own[lo : lo + QUERIES_AT_ONCE]
+        weights = postings(asked[lo : lo + QUERIES_AT_ONCE])
+        found = [partition_top(score_block(weights, len(some), held, len(part)), part, some, k) for part, held in parts]
+        row, vec, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((vec, -score, row))
+        row, vec, score = row[order], vec[order], score[order]
+        best = np.arange(len(row)) - np.searchsorted(row, row) < k
+        out.append((some[row[best]], vec[best], score[best]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def top_k(vectors: DataFrame, is_query: str, staging: Staging, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k best integer inner products of each query with all other vectors.
 
-    Queries come in blocks of QUERY_BLOCK rows. For each block (a bounded table) one scan of the vectors is planned,
-    whose tasks hold the block's postings, score VECTOR_BLOCK vectors at a time and keep k rows a query; a window
-    merges the tasks' rows, with k rows a query and task at most to shuffle. Nothing else is moved and no pair is
-    written. Ties go to the smaller vec_id. Equal rows count once; a query is never its own candidate, by vec_id.
-    Vectors that are null, or hold null or non-finite components, take no part; shorter vectors end in zeros.
+    Queries are dealt to blocks of about QUERY_BLOCK rows and vectors to blocks of about VECTOR_BLOCK; each pair of
+    blocks is one task's cell, which holds the postings of its vectors and keeps k rows a query. A window merges the
+    cells' rows. The driver holds two counts and nothing else, and the plan is the same for any number of blocks. Ties
+    go to the smaller vec_id. A query is never its own candidate, by vec_id. Repeated vec_ids count once, with their
+    smallest vector. Vectors that are null, or hold null or non-finite components, take no part; shorter vectors end
+    in zeros, and empty ones score 0. No queries, or no vectors: no rows. Other columns are ignored.
     """
     rows = staging.save(integer_vectors(vectors), "vectors")
-    asked = rows.where(is_query)
-    total = asked.count()
-    blocks = max(1, -(-total // QUERY_BLOCK))
-    block_of = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
-    schema = "query_id long, vec_id long, score long"
-    parts = []
-    for b in range(blocks):
-        block = asked.where(block_of == b).toArrow()  # about QUERY_BLOCK rows, whatever the size of the table
-        if not block.num_rows:
-            continue
-        own, weights = block.column("vec_id").to_numpy(), postings(_rows(block.column("q")))
-
-        def scan(batches: Iterator[pa.RecordBatch], own=own, weights=weights) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, VECTOR_BLOCK):
-                    ids = batch.column("vec_id").slice(lo, VECTOR_BLOCK).to_numpy()
-                    lists = pc.fill_null(batch.column("q"), pa.scalar([], pa.list_(pa.int64()))).slice(lo, VECTOR_BLOCK)
-                    scores = score_block(weights, len(own), postings(_rows(lists)), len(ids))
-                    row, vec, score = partition_top(scores, ids, own, k)
-                    yield pa.RecordBatch.from_arrays([pa.array(own[row]), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-        parts.append(rows.mapInArrow(scan, schema))
-    if not parts:
+    n_queries, n_vectors = rows.agg(F.count(F.when(F.expr(is_query), 1)), F.count(F.lit(1))).first()
+    if not n_queries:
         return staging.spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = parts[0]
-    for part in parts[1:]:
-        best = best.union(part)
+    ni, nj = -(-n_queries // QUERY_BLOCK), -(-n_vectors // VECTOR_BLOCK)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    of = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    asked = rows.where(is_query).select("vec_id", "q", F.lit(True).alias("asks"), of(ni).alias("i"), every(nj).alias("j"))
+    cells = asked.union(rows.select("vec_id", "q", F.lit(False).alias("asks"), every(ni).alias("i"), of(nj).alias("j")))
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+
+    def cell(table: pa.Table) -> pa.Table:
+        two = [table.filter(table.column("asks")), table.filter(pc.invert(table.column("asks")))]
+        if not all(t.num_rows for t in two):
+            return schema.empty_table()
+        own, ids = (t.column("vec_id").to_numpy() for t in two)
+        asked, held = (_rows(t.column("q")) for t in two)
+        return pa.table([pa.array(x, pa.int64()) for x in best_of_cell(own, asked, ids, held, k)], schema=schema)
+
+    best = cells.repartition("i", "j").groupBy("i", "j").applyInArrow(cell, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -88,3 +88,26 @@ def test_components_of_long_chains(spark):
     random.Random(1).shuffle(links)
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long").repartition(7), Staging(spark, "t"), "c").collect()}
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000, 1002: 1000, 5000: 5000}
+
+
+def test_long_words_that_a_polynomial_cannot_tell_apart(spark):
+    word = "A"
+    for _ in range(11):
+        word += word.translate(str.maketrans("AB", "BA"))
+    other = word.translate(str.maketrans("AB", "BA"))
+    texts = {1: f"{word} x y {other} x y", 2: f"{word} x y {word} x y"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert classes(near_dedup.near_duplicates(docs, Staging(spark, "t"), 3, 85)) == brute(texts, 3, 85)
+
+
+def test_blocks_of_a_large_group_are_dealt_apart(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(1).alias("grp"), (F.col("id") % 3 == 0).alias("stray"), F.lit(1).alias("one"))
+    dealt = near_dedup._dealt(rows, "grp", "stray", "one")
+    grouped = dealt.groupBy("grp", "i", "j").agg(F.count(F.lit(1)).alias("c"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(grp#" in plan and any("hashpartitioning(grp#" in x and ", i#" in x and ", j#" in x for x in plan.splitlines())
+    met = dealt.groupBy("grp", "i", "j").agg(F.collect_set(F.when(F.col("side") == 0, F.col("doc_id"))).alias("a"), F.collect_set(F.when(F.col("side") == 1, F.col("doc_id"))).alias("b")).collect()
+    pairs = [(x, y) for r in met for x in r.a for y in r.b]
+    assert len(pairs) == len(set(pairs)) == 334 * 1000 and len(met) > 8
