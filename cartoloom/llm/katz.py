@@ -73,6 +73,8 @@ class Levels:
 class Block:
     """A block's texts as places in its sorted distinct token hashes, and its distinct pairs in the order sent."""
 
+    # places take 32 bits: a block has about BLOCK_BYTES of text, and a longer text no more than Arrow's 2 GB
+
     ids: np.ndarray
     held: np.ndarray
     counts: np.ndarray
@@ -83,25 +85,25 @@ class Block:
     def read(cls, row: dict) -> Block:
         get = lambda c, t: np.frombuffer(row[c], t)
         size = int(get("counts", np.int64).sum())
-        tokens = np.frombuffer(pa.decompress(row["tokens"], 4 * size, codec="zstd"), np.uint32).astype(np.int64) if size else np.zeros(0, np.int64)
+        tokens = np.frombuffer(pa.decompress(row["tokens"], 4 * size, codec="zstd"), np.int32) if size else np.zeros(0, np.int32)
         return cls(get("ids", np.int64), get("held", bool), get("counts", np.int64), get("words", U64), tokens)
 
     def pairs(self, parts: int) -> None:
         """Sets of each token its context, of the distinct pairs their words, keys and parts, and the pair of each token."""
-        end = int(np.searchsorted(self.words, END))
+        n, end = len(self.words), int(np.searchsorted(self.words, END))
         context = np.empty_like(self.tokens)
         context[1:] = self.tokens[:-1]
         context[np.cumsum(self.counts) - self.counts] = end
-        self.context, self.end = context, end
-        own, at = np.unique(context * len(self.words) + self.tokens, return_inverse=True)
-        self.first, self.second = own // len(self.words), own % len(self.words)
-        key = mix(self.words[self.first] * U64(0x9E3779B97F4A7C15) + mix(self.words[self.second] + U64(1)))
-        part = (mix(key + U64(2)) % U64(parts)).astype(np.int64)
+        own, at = np.unique(context.astype(np.int64) * n + self.tokens, return_inverse=True)
+        at = at.astype(np.int32)
+        first, second = (own // n).astype(np.int32), (own % n).astype(np.int32)
+        key = mix(self.words[first] * U64(0x9E3779B97F4A7C15) + mix(self.words[second] + U64(1)))
+        part = (mix(key + U64(2)) % U64(parts)).astype(np.int32)
         key &= _KEY
-        order = np.lexsort((key, part))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.first, self.second, self.key, self.part, self.pair = self.first[order], self.second[order], key[order], part[order], rank[at]
+        order = np.lexsort((key, part)).astype(np.int32)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        self.first, self.second, self.key, self.part, self.pair = first[order], second[order], key[order], part[order], rank[at]
 
     @property
     def trained(self) -> np.ndarray:
@@ -123,7 +125,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
                 inside[np.cumsum(counts) - 1] = False
                 tokens[inside] = word_hashes(data, starts, lengths, FOLDED_VALUES)
                 words, at = np.unique(tokens, return_inverse=True)
-                row = (int(ids[lo]), ids[lo:hi].tobytes(), held[lo:hi].astype(bool).tobytes(), counts.astype(np.int64).tobytes(), words.tobytes(), pa.compress(at.astype(np.uint32).tobytes(), codec="zstd", asbytes=True))
+                row = (int(ids[lo]), ids[lo:hi].tobytes(), held[lo:hi].astype(bool).tobytes(), counts.astype(np.int64).tobytes(), words.tobytes(), pa.compress(at.astype(np.int32).tobytes(), codec="zstd", asbytes=True))
                 del starts, lengths, tokens, inside, at
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, columns.values(), strict=True)], names=list(columns))
             release()
