@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,52 +25,74 @@ CLOSES_P = BLOCK - frozenset("html body dd dt li summary tbody td tfoot th thead
 NOT_TEXT = frozenset("head script style noscript template iframe svg nav footer aside form button select textarea title input object canvas audio video menu dialog".split())
 UNITS = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd pre blockquote figcaption summary".split())
 SLOTS = frozenset(("article", "main"))
-OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget\w*|"
-    r"header|masthead|footer|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|newsletter|subscribe|popup|modal|toolbar|skip|pagination|pager)(?:$|[\s_-])"
+#: Words in class names and ids of what is not the article. Outside article and main elements one of them may be any part
+#: of a name but one that begins with a word of OWN; inside, only a class that is the whole word counts, and not on UNITS.
+OTHER = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner cookie cookies consent gdpr notice nav navbar navigation menu "
+    "breadcrumb breadcrumbs sidebar widget widgets header masthead footer comment comments commentlist disqus replies respond share sharing social related "
+    "newsletter subscribe popup modal toolbar skip pagination pager".split()
 )
+OWN = frozenset("entry post article content story main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
 #: A node of a host's template that so many pages share with the same text is part of the template, if at least
 #: that many pages have been aligned.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 5
-#: Elements nested deeper than this are read as if their tags were not there; their text stays in place.
-DEPTH = 120
+#: Models of all hosts of no more bytes than this are sent to every task.
+SENT_BYTES = 32 << 20
+#: Rows of a table of common subsequences that are worked out again at once when its way is traced back.
+ROWS = 512
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.S)
 _ATTR = re.compile(r"(class|id|role|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|$)", re.I)
 _SPACE = re.compile(r"\s+")
+_NUMBER = re.compile("[0-9]+")
 
 
 @dataclass(slots=True)
 class Node:
-    """An element: its name, whether its name, class or role says it is not the article, children and own text."""
+    """An element: its name, its name with its classes, whether it is in an article, and whether it is no part of one.
+
+    kids: Nodes and strings, in order. size: length of its text without white space; digest tells equal texts.
+    """
 
     tag: str
+    mark: str = ""
+    inside: bool = False
     other: bool = False
-    kids: list = field(default_factory=list)  # Nodes and strings, in order
+    kids: list = field(default_factory=list)
     number: int = -1
-    text: str | None = None
+    size: int = 0
+    digest: int = 0
+
 
+def _names_other(name: str, value: str, tag: str, inside: bool) -> bool:
+    words = value.split()
+    if inside:
+        return name == "class" and tag not in UNITS and not OTHER.isdisjoint(words)
+    parts = (re.split("[-_]+", w) for w in words)
+    return any(p[0] not in OWN and not OTHER.isdisjoint(p) for p in parts)
 
-def _is_other(tag: str, attrs: str) -> bool:
-    if tag in NOT_TEXT:
-        return True
-    if not attrs:
-        return False
-    for name, a, b, c in _ATTR.findall(attrs):
+
+def _described(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
+    """The element's mark, and whether its name, role or classes say that it is no part of an article."""
+    other = tag in NOT_TEXT or tag == "header" and not inside
+    mark = tag
+    for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and OTHER.search(value):
-            return True
-    return False
+            other = True
+        elif name in ("class", "id"):
+            if name == "class":
+                mark += "." + _NUMBER.sub("", value)
+            other = other or tag not in ("html", "body", "article", "main") and _names_other(name, value, tag, inside)
+    return mark, other
 
 
 def parse(source: str) -> Node:
-    """The tree of a page. Tags may lack ends, nest wrongly or break off; nothing makes it fail."""
+    """The tree of a page, however deep. Tags may lack ends, nest wrongly or break off; nothing makes it fail."""
     root = Node("#")
     stack, at, size = [root], 0, len(source)
-    skipped: dict[str, int] = {}
+    opened: Counter[str] = Counter()  # of the names on the stack
     while at < size:
         m = _TOKEN.search(source, at)
         if not m:
@@ -87,21 +110,17 @@ def parse(source: str) -> Node:
         if m[1]:
             if tag == "br":
                 stack[-1].kids.append(Node("br"))
-            if skipped.get(tag):
-                skipped[tag] -= 1
-                continue
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    _cut(stack, i, opened)
                     break
                 if stack[i].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
                     break
             continue
-        _close_for(tag, stack)
-        node = Node(tag, _is_other(tag, m[3]))
-        if len(stack) > DEPTH and tag not in RAW and tag not in VOID and (not node.other or stack[-1].other):
-            skipped[tag] = skipped.get(tag, 0) + 1
-            continue
+        _close_for(tag, stack, opened)
+        inside = stack[-1].inside or stack[-1].tag in SLOTS
+        mark, other = _described(tag, m[3], inside)
+        node = Node(tag, mark, inside, other)
         stack[-1].kids.append(node)
         if tag in RAW and not m[3].endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|$)", re.I).search(source, at)
@@ -110,33 +129,61 @@ def parse(source: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID and not (m[3].endswith("/") and tag in ("path", "circle", "rect")):
             stack.append(node)
+            opened[tag] += 1
+    _measure(root)
     return root
 
 
-def _close_for(tag: str, stack: list[Node]) -> None:
+def _measure(root: Node) -> None:
+    """Sets size and digest of all nodes, of text without white space and without nodes that are other."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(k for k in node.kids if not isinstance(k, str))
+    for node in reversed(order):
+        parts: list = []
+        for kid in node.kids:
+            if isinstance(kid, str):
+                text = "".join(entities.unescape(kid).split())
+                if text:
+                    parts.append(text)
+                    node.size += len(text)
+            elif kid.size and not kid.other:
+                parts.append(kid.digest)
+                node.size += kid.size
+        node.digest = parts[0] if len(parts) == 1 and isinstance(parts[0], int) else hash(tuple(parts)) if parts else 0
+
+
+def _cut(stack: list[Node], i: int, opened: Counter) -> None:
+    opened.subtract(n.tag for n in stack[i:])
+    del stack[i:]
+
+
+def _close_for(tag: str, stack: list[Node], opened: Counter) -> None:
     """Ends the elements that a start tag ends by itself."""
     if tag in CLOSES_P:
-        _close("p", stack, BLOCK - {"p"})
+        _close("p", stack, opened, BLOCK - {"p"})
     if tag == "li":
-        _close("li", stack, frozenset(("ul", "ol", "menu", "table")))
+        _close("li", stack, opened, frozenset(("ul", "ol", "menu", "table")))
     elif tag in ("dd", "dt"):
-        _close("dd", stack, frozenset(("dl",)))
-        _close("dt", stack, frozenset(("dl",)))
+        _close("dd", stack, opened, frozenset(("dl",)))
+        _close("dt", stack, opened, frozenset(("dl",)))
     elif tag == "option":
-        _close("option", stack, frozenset(("select",)))
+        _close("option", stack, opened, frozenset(("select",)))
     elif tag in ("td", "th"):
-        _close("td", stack, frozenset(("tr", "table")))
-        _close("th", stack, frozenset(("tr", "table")))
+        _close("td", stack, opened, frozenset(("tr", "table")))
+        _close("th", stack, opened, frozenset(("tr", "table")))
     elif tag in ("tr", "tbody", "tfoot"):
-        _close("tr", stack, frozenset(("table",)))
+        _close("tr", stack, opened, frozenset(("table",)))
     elif tag == "body":
-        _close("head", stack, frozenset(("body",)))
+        _close("head", stack, opened, frozenset(("body",)))
 
 
-def _close(tag: str, stack: list[Node], stop: frozenset) -> None:
-    for i in range(len(stack) - 1, 0, -1):
+def _close(tag: str, stack: list[Node], opened: Counter, stop: frozenset) -> None:
+    for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
         if stack[i].tag == tag:
-            del stack[i:]
+            _cut(stack, i, opened)
             return
         if stack[i].tag in stop:
             return
@@ -179,12 +226,6 @@ def blocks(node: Node, constant: set[int] | None = None) -> list[str]:
     return found
 
 
-def whole_text(node: Node) -> str:
-    if node.text is None:
-        node.text = "\n".join(blocks(node))
-    return node.text
-
-
 def elements(node: Node) -> list[Node]:
     return [k for k in node.kids if not isinstance(k, str) and k.tag not in ("br", "hr")]
 
@@ -201,75 +242,80 @@ def numbered(root: Node) -> list[Node]:
     return out
 
 
-def tree_match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None) -> int:
-    """Simple tree matching: the largest number of pairs of equal names that keep order and parents.
+def common(x: list, y: list) -> list[tuple[int, int]]:
+    """Places (i, j) of a longest common subsequence of two lists, in order.
 
-    ``a`` and ``b`` have equal names. Units (paragraphs, headings, list items) and nodes marked as other count as
-    leaves. pairs: gets the matched nodes of the best alignment.
+    What is equal at both ends is matched first. The rest goes by rows of bits: bit j of row i is 0 where one more of y
+    is common to the first i of x. Only each ROWS-th row is kept; those between are worked out again on the way back.
     """
-    if pairs is not None:
-        pairs.append((a, b))
-    if a.other or b.other or a.tag in UNITS:
-        return 1
-    x, y = elements(a), elements(b)
-    weight = {}
-
-    def own(i: int, j: int) -> int:
-        p, q = x[i], y[j]
-        if p.tag != q.tag or p.other != q.other:
-            return 0
-        if p.other or p.tag in UNITS:
-            return 1
-        if (i, j) not in weight:
-            weight[i, j] = tree_match(p, q, None)
-        return weight[i, j]
-
-    head = 0  # children that match one by one at both ends need no table
-    while head < min(len(x), len(y)) and x[head].tag == y[head].tag and x[head].other == y[head].other and x[head].tag in UNITS:
+    head, m, n = 0, len(x), len(y)
+    while head < min(m, n) and x[head] == y[head]:
         head += 1
-    m, n = len(x) - head, len(y) - head
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(1, m + 1):
-        row, above = best[i], best[i - 1]
-        for j in range(1, n + 1):
-            w = own(head + i - 1, head + j - 1)
-            top = above[j] if above[j] >= row[j - 1] else row[j - 1]
-            row[j] = above[j - 1] + w if w and above[j - 1] + w > top else top
-    if pairs is not None:
-        chosen, i, j = [], m, n
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                chosen.append((x[head + i], y[head + j]))
-        for p, q in [*((x[i], y[i]) for i in range(head)), *reversed(chosen)]:
-            tree_match(p, q, pairs)
-    return 1 + head + best[m][n]
+    while m > head and n > head and x[m - 1] == y[n - 1]:
+        m, n = m - 1, n - 1
+    found = [(m + k, n + k) for k in range(len(x) - m - 1, -1, -1)]
+    width, where = n - head, {}
+    for j in range(head, n):
+        where[y[j]] = where.get(y[j], 0) | 1 << (j - head)
+    every = (1 << width) - 1
+
+    def below(row: int, i: int) -> int:
+        hit = row & where.get(x[i], 0)
+        return (row + hit | row - hit) & every
+
+    kept, row = [every], every
+    for i in range(head, m):
+        row = below(row, i)
+        if (i + 1 - head) % ROWS == 0:
+            kept.append(row)
+    i, j, low, rows = m, n, m, [row]
+    while i > head and j > head:
+        if i == low and i > head:  # rows of places low .. i
+            low = head + (i - 1 - head) // ROWS * ROWS
+            rows = [kept[(low - head) // ROWS]]
+            for k in range(low, i):
+                rows.append(below(rows[-1], k))
+        if x[i - 1] == y[j - 1]:
+            i, j = i - 1, j - 1
+            found.append((i, j))
+        elif rows[i - low] >> (j - 1 - head) & 1:
+            j -= 1
+        else:
+            i -= 1
+    return [*((k, k) for k in range(head)), *reversed(found)]
+
+
+def beside(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
+    """Children of two nodes matched in order: those of equal marks, and between them those of equal names."""
+    pairs = []
+    last = (-1, -1)
+    for end in [*common([(k.mark, k.other) for k in x], [(k.mark, k.other) for k in y]), (len(x), len(y))]:
+        p, q = x[last[0] + 1 : end[0]], y[last[1] + 1 : end[1]]
+        if p and q:
+            pairs += [(p[i], q[j]) for i, j in common([(k.tag, k.other) for k in p], [(k.tag, k.other) for k in q])]
+        if end[0] < len(x):
+            pairs.append((x[end[0]], y[end[1]]))
+        last = end
+    return pairs
 
 
 def aligned(model: Node, page: Node) -> list[tuple[Node, Node]]:
-    pairs: list[tuple[Node, Node]] = []
-    tree_match(model, page, pairs)
-    return pairs
-
+    """Simple tree matching: pairs of nodes of equal names that keep parents and order, level by level.
 
-def _size(node: Node) -> int:
-    """Length of a node's text without spaces, so that a node's is the sum of its children's and its own."""
-    return len(whole_text(node).replace(" ", "").replace("\n", ""))
+    Units (paragraphs, headings, list items) and nodes marked as other count as leaves.
+    """
+    pairs, todo = [], [(model, page)]
+    while todo:
+        a, b = todo.pop()
+        pairs.append((a, b))
+        if not (a.other or b.other or a.tag in UNITS):
+            todo.extend(beside(elements(a), elements(b)))
+    return pairs
 
 
 def evidence(model: Node, page: Node) -> dict[int, tuple[int, int, int]]:
     """What one page says of the model's nodes: (number, aligned, same text, length of its text)."""
-    out = {}
-    for a, b in aligned(model, page):
-        if b.other:
-            out[a.number] = (1, int(whole_text(a) == whole_text(b)), 0)
-        else:
-            out[a.number] = (1, int(whole_text(a) == whole_text(b)), _size(b))
-    return out
+    return {a.number: (1, int(a.digest == b.digest), 0 if b.other else b.size) for a, b in aligned(model, page)}
 
 
 def wrapper(model: Node, seen: dict[int, tuple[int, int, int]]) -> tuple[int, list[int]]:
@@ -282,7 +328,7 @@ def wrapper(model: Node, seen: dict[int, tuple[int, int, int]]) -> tuple[int, li
 
     def constant(n: Node) -> bool:
         pages, same, _ = seen.get(n.number, (0, 0, 0))
-        return pages >= CONSTANT_PAGES and same >= CONSTANT_SHARE * pages and bool(whole_text(n))
+        return pages >= CONSTANT_PAGES and same >= CONSTANT_SHARE * pages and n.size > 0
 
     def size(n: Node) -> int:
         return 0 if n.other else seen.get(n.number, (0, 0, 0))[2]
@@ -307,7 +353,7 @@ def extract(source: str | None, model: Node | None, slot: int, constant: set[int
     page = parse(source)
     if model is None:
         model = page
-        slot, own = wrapper(page, {n.number: (1, 0, 0 if n.other else _size(n)) for n in numbered(page)})
+        slot, own = wrapper(page, {n.number: (1, 0, 0 if n.other else n.size) for n in numbered(page)})
         constant = set(own)
     there, template = None, set()
     for a, b in aligned(model, page):
@@ -320,8 +366,8 @@ def extract(source: str | None, model: Node | None, slot: int, constant: set[int
         there = first or there or page
     found = [there]
     if there.tag in SLOTS:
-        beside = next((elements(n) for n in numbered(page) if any(k is there for k in elements(n))), found)
-        found = [k for k in beside if k.tag in SLOTS and not k.other or k is there]
+        row = next((elements(n) for n in numbered(page) if any(k is there for k in elements(n))), found)
+        found = [k for k in row if k.tag in SLOTS and not k.other or k is there]
     return "\n".join(b for slot_node in found for b in blocks(slot_node, template))
 
 
@@ -335,8 +381,11 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
     The model tree of a host is that of its first page (smallest page_id with html). Every page of the host is
     aligned with it by simple tree matching, and what all of them say of each node (aligned, same text, length of
     text) is summed before the shuffle: nodes with the same text on nearly all pages are template, and the lowest subtree
-    with all of the varying text is the slot of the content (articles side by side are one slot). A second pass aligns each page again and takes the
-    slot's blocks, without the template's and without elements that by name, class or role are no part of an article.
+    with all of the varying text is the slot of the content (articles side by side are one slot). A second pass aligns
+    each page again and takes the slot's blocks, without the template's and without elements that by name, class or role are no part of an article.
+
+    Pages of any depth and with any number of siblings are aligned whole. Outside of article and main elements the
+    words of OTHER in names, and header elements, mark what is no part of the article; inside, only whole classes do.
 
     A host with one page, a null url, or a page that the wrapper doesn't fit go by their own tree in the same way.
     Null or empty html gives an empty text. Repeated page_ids count once, with their smallest html and url.
@@ -348,6 +397,9 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
     rows = rows.withColumn("host", host_of("url"))
     first = rows.where("length(html) > 0 AND host <> ''").groupBy("host").agg(F.min("page_id").alias("page_id"))
     models = staging.save(rows.select("page_id", F.col("html").alias("model")).join(first, "page_id").select("host", "model"), "models")
+    bytes_of = models.agg(F.sum(F.octet_length("host") + F.octet_length("model"))).first()[0] or 0
+    # few hosts: their models go to all tasks, and no page is moved; else an equi-join, whose large hosts Spark splits
+    sent = F.broadcast if bytes_of <= SENT_BYTES else lambda t: t
 
     def say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: dict[str, Node] = {}
@@ -364,7 +416,7 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
                 [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.int32()), *(pa.array([v[i] for v in total.values()], pa.int64()) for i in range(3))], names=["host", "number", "pages", "same", "chars"]
             )
 
-    seen = rows.where("length(html) > 0").join(models, "host").select("host", "model", "html").mapInArrow(say, "host string, number int, pages long, same long, chars long")
+    seen = rows.where("length(html) > 0").join(sent(models), "host").select("host", "model", "html").mapInArrow(say, "host string, number int, pages long, same long, chars long")
     seen = seen.groupBy("host", "number").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars")))
     seen = seen.groupBy("host").agg(F.collect_list(F.struct("number", "pages", "same", "chars")).alias("seen"))
     wrappers = staging.save(models.join(seen, "host"), "wrappers")
@@ -385,7 +437,7 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
                 texts.append(extract(source, tree, *known[host]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    out = rows.join(wrappers, "host", "left").select("page_id", "url", "host", "model", "seen", "html").mapInArrow(take, "page_id long, url string, text string")
+    out = rows.join(sent(wrappers), "host", "left").select("page_id", "url", "host", "model", "seen", "html").mapInArrow(take, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

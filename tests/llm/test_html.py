@@ -1,7 +1,9 @@
 """Main text of generated pages against the article they were made from, and trees that are odd."""
 
 import html as entities
+import random
 import re
+import time
 
 from cartoloom.llm import html
 from cartoloom.llm.common import Staging
@@ -49,9 +51,60 @@ def test_odd_pages(spark):
     assert html.main_text(pages_of(spark, rows).limit(0), Staging(spark, "t")).count() == 0
 
 
+def plain_common(x, y):
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, p in enumerate(x):
+        for j, q in enumerate(y):
+            best[i + 1][j + 1] = best[i][j] + 1 if p == q else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+def test_common_subsequences(monkeypatch):
+    rng = random.Random(1)
+    for rows in (512, 4):
+        monkeypatch.setattr(html, "ROWS", rows)
+        for _ in range(300):
+            x, y = ([rng.choice("abc") for _ in range(rng.randrange(25))] for _ in "xy")
+            got = html.common(x, y)
+            assert len(got) == plain_common(x, y)
+            assert all(x[i] == y[j] for i, j in got) and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(got, got[1:]))
+
+
 def test_tree_matching():
     a, b = (html.parse(x) for x in ("<div><ul><li>1</li></ul><section><p>x</p></section></div>", "<div><section><p>y</p><p>z</p></section></div>"))
-    assert html.tree_match(a, b, None) == 4
+    assert [(x.tag, y.tag) for x, y in html.aligned(a, b)] == [("#", "#"), ("div", "div"), ("section", "section"), ("p", "p")]
+    a, b = (html.parse(x) for x in ("<div class='x'>1</div><div class='post-7'>2</div>", "<div class='post-9'>3</div>"))
+    assert [(x.mark, y.mark) for x, y in html.aligned(a, b)] == [("", ""), ("div.post-", "div.post-")]
+
+
+def test_deep_and_wide_pages():
+    began = time.time()
+    deep = "<div>" * 5000 + "<p>one</p><p>two</p>" + "</div>" * 5000
+    assert html.extract(deep, None, 0, set()) == "one\ntwo"
+    rng = random.Random(2)
+    wide = ["".join(f"<{t}>{i}</{t}>" for i, t in enumerate(rng.choices(["div", "p", "section", "h2"], k=20_000))) for _ in "ab"]
+    model = html.parse(wide[0])
+    html.numbered(model)
+    assert len(html.evidence(model, html.parse(wide[1]))) > 10_000
+    assert time.time() - began < 30
+
+
+def test_names_inside_and_outside_of_articles():
+    read = lambda body: html.extract(f"<html><body>{body}</body></html>", None, 0, set())
+    assert read("<header>Site name</header><p>Article text</p>") == "Article text"
+    assert read("<article><header><h1>Title</h1></header><p>x</p></article>") == "Title\nx"
+    assert read("<article><div class='entry-header'><h1>Title</h1></div><p class='related'>a</p><section id='notice'><p>b</p></section></article>") == "Title\na\nb"
+    assert read("<main><div class='ad'>buy</div><p>x</p><div class='comments box'><p>no</p></div></main>") == "x"
+    assert read("<div class='side-effects'><p>a</p></div><div class='site-footer'>no</div><div id='cookie-box'>no</div><p>b</p>") == "a\nb"
+    assert read("<div class='post-header'><h1>T</h1></div><div class='page-header'>no</div><p>b</p>") == "T\nb"
+
+
+def test_hosts_beyond_the_bound_of_sending(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 3}.example/", f"<body><nav>menu</nav><article><p>text {i}</p></article></body>") for i in range(30)]
+    want = {i: f"text {i}" for i in range(30)}
+    assert {r.page_id: r.text for r in html.main_text(pages_of(spark, rows), Staging(spark, "t")).collect()} == want
+    monkeypatch.setattr(html, "SENT_BYTES", 0)
+    assert {r.page_id: r.text for r in html.main_text(pages_of(spark, rows), Staging(spark, "t")).collect()} == want
 
 
 def test_title_and_lead_outside_the_body(spark):
