@@ -50,7 +50,7 @@ def _span_hashes(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     before = np.cumsum(lengths) - lengths
     inside = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(before, lengths)
     terms = values[inside + np.repeat(starts, lengths)] * powers(int(lengths.max()))[inside]
-    return mix(np.add.reduceat(terms, before) + lengths.astype(U64))
+    return mix(np.add.reduceat(mix(terms), before) + lengths.astype(U64))
 
 
 def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +186,8 @@ def predicted(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """The columns ``keep`` of documents, lang_pred and score, from ``text`` alone.
 
     lang_pred is ``und`` and score 0 where the text is null, or has no letter, or nothing was learned. Equal scores
-    go to the language that sorts first. Every row stays, repeated ids too.
+    go to the language that sorts first. Every row stays, repeated ids too; texts are taken whole, however long.
+    ``keep`` must not hold the names lang_pred, score or own_text; other columns of documents may have any name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = "text" if "text" in keep else "own_text"  # a text that is kept crosses to Python once

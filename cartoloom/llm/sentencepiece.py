@@ -58,6 +58,14 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         yield tag >> 3, value
 
 
+def _polynomials(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of spans, which differences of prefix sums give too."""
+    first = np.cumsum(lengths) - lengths
+    inside = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(first, lengths)
+    terms = BYTE_VALUES[data[inside + np.repeat(starts, lengths)]] * powers(int(lengths.max()))[inside]
+    return mix(np.add.reduceat(terms, first) + lengths.astype(U64))
+
+
 @dataclass
 class Pieces:
     """A vocabulary: pieces as bytes (space for the word mark), scores, and the ids of the 256 byte pieces."""
@@ -76,7 +84,7 @@ class Pieces:
         flat = np.frombuffer(b"".join(self.texts), np.uint8)
         own = np.flatnonzero(self.usable & (lengths > 0))
         starts = (np.cumsum(lengths) - lengths)[own]
-        keys = word_hashes(flat, starts, lengths[own])
+        keys = _polynomials(flat, starts, lengths[own])
         order = np.argsort(keys, kind="stable")
         self.keys, self.ids = keys[order], own[order]
         assert len(np.unique(self.keys)) == len(self.keys), "pieces repeat"
@@ -337,6 +345,19 @@ class Encoder:
         order = np.argsort(keys, kind="stable")
         self.known, self.place = keys[order], place[order]
 
+    def encode_plainly(self, text: np.ndarray) -> np.ndarray:
+        """Ids of one text, each word by itself."""
+        if self.pieces.prefix and len(text):
+            text = np.concatenate([[0x20], text]).astype(np.uint8)
+        pieces, out = self.pieces, [np.zeros(0, np.int32)]
+        for a, n in zip(*(x.tolist() for x in pieces.words_of(text, np.array([0, len(text)]))), strict=True) if len(text) else ():
+            word = text[a : a + n]
+            if n > LONG:
+                out.append((pieces.merge_long if pieces.merges else pieces.split_long)(word))
+            else:
+                out.append((pieces.merge_words if pieces.merges else pieces.split_words)(word[None, :])[0])
+        return np.concatenate(out).astype(np.int32)
+
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and how many each text has."""
         texts = np.diff(offs)
@@ -368,6 +389,25 @@ class Encoder:
         return ids, np.diff(ends[np.searchsorted(starts, offs)])
 
 
+def recoded_texts(state: Encoder, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all texts and how many each has, and the bytes and offsets of what decoding gives.
+
+    Words are remembered by hashes. Should two differ and hash alike, a text decodes to another one: such texts are
+    encoded again word by word, without hashes.
+    """
+    ids, counts = state.encode(data, offs)
+    back, ends = decode(state.pieces, ids, counts)
+    if len(back) == len(data) and (back == data).all() and (ends == offs).all():
+        return ids, counts, back, ends
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    each = []
+    for a, b, c, d, i, j in zip(ends[:-1], ends[1:], offs[:-1], offs[1:], cuts[:-1], cuts[1:], strict=True):
+        own = data[c:d]
+        each.append(ids[i:j] if b - a == d - c and (back[a:b] == own).all() else state.encode_plainly(own))
+    ids, counts = np.concatenate(each).astype(np.int32), np.array([len(x) for x in each], np.int64)
+    return ids, counts, *decode(state.pieces, ids, counts)
+
+
 def decode(pieces: Pieces, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts whose ids these are, flat, and their offsets; the space put before a text is taken off."""
     sizes = pieces.lengths[ids]
@@ -421,7 +461,7 @@ def _with_column(docs: DataFrame, old: str, new: str, kind: T.DataType, make, ap
 
 def _encode_batch(state: Encoder, batch: pa.RecordBatch, name: str):
     for lo, hi, data, offs in chunks(batch, name):
-        made = _list(*state.encode(data, offs))
+        made = _list(*recoded_texts(state, data, offs)[:2])
         null = batch.column(name).slice(lo, hi - lo).is_null()
         yield lo, hi, pc.if_else(null, pa.scalar(None, made.type), made) if null.true_count else made
 
@@ -448,8 +488,7 @@ def recoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
         state = Encoder(Pieces.load(model_file))
         for batch in batches:
             for lo, hi, data, offs in chunks(batch, "text", 1 << 20):
-                ids, counts = state.encode(data, offs)
-                back, ends = decode(state.pieces, ids, counts)
+                ids, counts, back, ends = recoded_texts(state, data, offs)
                 text = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(back))]).cast(pa.string())
                 made, null = _list(ids, counts), batch.column("text").slice(lo, hi - lo).is_null()
                 if null.true_count:
@@ -460,15 +499,18 @@ def recoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
 
 
 def encoded_and_decoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, ids, round_trip: encoding, decoding and whether the text came back, in one pass."""
+    """doc_id, n_bytes, n_tokens, ids, round_trip: encoding, decoding and whether the text came back, in one pass.
+
+    Null and empty texts have no ids and come back; texts of any length are taken whole. Every row is one, repeated
+    doc_ids too; a table without rows gives none. Other columns are ignored, whatever their names.
+    """
     schema = "doc_id long, n_bytes long, n_tokens long, ids array<int>, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = Encoder(Pieces.load(model_file))
         for batch in batches:
             for lo, hi, data, offs in chunks(batch, "text"):
-                ids, counts = state.encode(data, offs)
-                back, ends = decode(state.pieces, ids, counts)
+                ids, counts, back, ends = recoded_texts(state, data, offs)
                 same = np.diff(ends) == np.diff(offs)
                 if len(back) != len(data) or not (back == data).all():
                     same = np.array([bytes(back[a:b]) == bytes(data[c:d]) for a, b, c, d in zip(ends[:-1], ends[1:], offs[:-1], offs[1:], strict=True)])

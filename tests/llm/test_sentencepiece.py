@@ -100,3 +100,17 @@ def test_columns_and_odd_rows(spark, odd_documents):
     assert [(r.doc_id, r.text, r.a, r.band) for r in sorted(back.collect(), key=key)] == want
     assert all(r.round_trip for r in sp.encoded_and_decoded(odd_documents).collect())
     assert sp.encoded(odd_documents.limit(0)).count() == 0
+
+
+def test_words_that_hash_alike(monkeypatch):
+    texts = ["one two three", "", "two one ▁ caf\u00e9", "x" * 300 + " one", "three"]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    pieces = sp.Pieces.load(sp.MODEL_FILE)
+    want = sp.recoded_texts(sp.Encoder(pieces), data, offs)
+    assert bytes(want[2]) == data.tobytes()
+    monkeypatch.setattr(sp, "word_hashes", lambda data, starts, lengths: (lengths % 2).astype(np.uint64))
+    encoder = sp.Encoder(pieces)
+    for x, y in zip(sp.recoded_texts(encoder, data, offs), want, strict=True):
+        assert (x == y).all()
