@@ -73,3 +73,12 @@ def test_near_duplicates_without_id(spark, odd_documents, small):
     kept = corpus_pipeline.near_duplicate(spark, docs, small).collect()
     assert sorted(r.text for r in kept if r.doc_id is None) == sorted(texts[:2])
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 2, 3, 4, 6]
+
+
+def test_clashing_names(spark, small):
+    names = ["score", "lang_pred", "cut", "row", "column0", "run", "pos", "kept", "component_id", "contaminated", "words"]
+    docs = spark.createDataFrame([(1, "en", "write to a@b.co when quiet rivers carry cold water", *names), (2, "en", None, *names)], "doc_id long, lang string, text string, " + ", ".join(f"{n} string" for n in names))
+    for _, stage in corpus_pipeline.STAGES:
+        done = stage(spark, docs, small)
+        assert set(docs.columns) <= set(done.columns)
+        assert all(r[n] == n for r in done.collect() for n in names)
