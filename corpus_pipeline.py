@@ -48,10 +48,15 @@ def null_ids_kept(stage):
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that language identification rejects; the model learns from the labelled ones."""
+    """Drops documents that language identification rejects; the model learns from the labelled ones.
+
+    Columns other than doc_id, text and lang may have any name: they go by their places meanwhile.
+    """
     model = trained(docs)
-    named = predicted(docs, model, *docs.columns)
-    return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    own = {c: c if c == "text" else f"column{i}" for i, c in enumerate(docs.columns)}
+    named = predicted(docs.select(*(F.col(f"`{c}`").alias(a) for c, a in own.items())), model, *own.values())
+    kept = named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(*(F.col(a).alias(c) for c, a in own.items()))
 
 
 @null_ids_kept
