@@ -1 +1 @@
-"""Column expressions (tags, numbers, geo) and Arrow kernels (shapes, vector_tiles)."""
+"""Column expressions (tags, numbers, geo) and Arrow kernels (shapes, vector_tiles, wire)."""

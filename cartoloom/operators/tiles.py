@@ -49,7 +49,7 @@ def joined_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
     @F.pandas_udf("binary")
     def join(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([p if q is None else vt.join_zipped(p, q) for p, q in zip(x, y, strict=True)])
+        return pd.Series([p if q is None else vt.end_to_end(p, q) for p, q in zip(x, y, strict=True)])
 
     done = pairs.select("ia", "ib", join("xa", "xb").alias("data"))
     return left.join(done, left.ia.eqNullSafe(done.ia) & left.ib.eqNullSafe(done.ib)).select(*KEY, "data")
@@ -63,7 +63,7 @@ def combined(tiles: DataFrame) -> DataFrame:
 
     def one(table: pd.DataFrame) -> pd.DataFrame:
         found = [gzip.decompress(d) for d in table.sort_values("part")["data"]]
-        return table[KEY].iloc[:1].assign(data=gzip.compress(vt.combined(found), 6, mtime=0))
+        return table[KEY].iloc[:1].assign(data=gzip.compress(vt.together(found), 6, mtime=0))
 
     return tiles.groupBy(*KEY).applyInPandas(one, "z int, x int, y int, data binary")
 

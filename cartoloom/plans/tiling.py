@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import vector_tiles as vt
+from ..functions.wire import number_bytes
 from ..operators import tiles as t
 from .base import derived, query, table
 
@@ -64,7 +65,7 @@ def _vector_tiles(spark, sf_dir):
 
     @F.pandas_udf("binary")
     def build(i: pd.Series, s: pd.Series) -> pd.Series:
-        make = lambda n, w: vt.encode([{"name": f"layer{n % 2}", "version": 2, "extent": 4096, "features": [{"fid": n, "kind": 1, "geometry": vt.packed([9, n % 5, 4]), "pairs": (("source", vt.value(w)), ("n", vt.value(int(n % 3))))}]}])
+        make = lambda n, w: vt.tile_of([vt.Layer.of(f"layer{n % 2}", [(n, 1, number_bytes([9, n % 5, 4]), {"source": w, "n": n % 3})])])
         return pd.Series([gzip.compress(make(int(n), w), 6, mtime=0) for n, w in zip(i, s, strict=True)])
 
     d = table(spark, sf_dir, "documents")
@@ -76,7 +77,7 @@ def mvt_roundtrip(spark, sf_dir):
 
     @F.pandas_udf("int")
     def count(data: pd.Series) -> pd.Series:
-        return pd.Series([sum(len(x["features"]) for x in vt.layers(gzip.decompress(d))) for d in data])
+        return pd.Series([sum(map(len, vt.layers(gzip.decompress(d)))) for d in data])
 
     return t.combined(_vector_tiles(spark, sf_dir)).select("z", "x", "y", count("data").alias("features"))
 

@@ -6,27 +6,16 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions.vector_tiles import fields, unpacked
+from ..functions.wire import Message, running, signed
 
 SCHEMA = "type string, id long, lat_e7 int, lon_e7 int, tags map<string,string>, refs array<long>, members array<struct<type:string,ref:long,role:string>>"
 
 
-def _signed(n: int) -> int:
-    return n >> 1 ^ -(n & 1)
-
-
-def _deltas(data: bytes) -> list[int]:
-    out, total = [], 0
-    for n in unpacked(data):
-        total += _signed(n)
-        out.append(total)
-    return out
-
-
 class Blobs(InputPartition):
     def __init__(self, places: list[tuple[int, int]]):
         self.places = places
@@ -72,17 +61,18 @@ def blobs(path: str) -> Iterator[tuple[bytes, int, int]]:
     """(kind, place, size) of the blocks of a file; only their heads are read."""
     with open(path, "rb") as f:
         while head := f.read(4):
-            about = dict((n, v) for n, _, v in fields(f.read(struct.unpack(">I", head)[0])))
-            yield about[1], f.tell(), about[3]
-            f.seek(about[3], 1)
+            about = Message(f.read(struct.unpack(">I", head)[0]))
+            size = about.last(3)
+            yield bytes(about.last(1)), f.tell(), size
+            f.seek(size, 1)
 
 
 def inflated(blob: bytes) -> bytes:
-    about = {n: v for n, _, v in fields(blob)}
-    if 1 in about:
-        return about[1]
-    if 3 in about:
-        return zlib.decompress(about[3])
+    about = Message(blob)
+    if about.all(1):
+        return bytes(about.last(1))
+    if about.all(3):
+        return zlib.decompress(about.last(3))
     raise ValueError("a block is packed in a way that is not supported")
 
 
@@ -92,47 +82,49 @@ def replicated_at(path: str) -> int | None:
         if kind == b"OSMHeader":
             with open(path, "rb") as f:
                 f.seek(at)
-                return next((v for n, _, v in fields(inflated(f.read(size))) if n == 32), None)
+                return Message(inflated(f.read(size))).last(32)
     return None
 
 
+def _offset(block: Message, field: int) -> int:
+    """A place's zero, which can be negative: 64 bits in two's complement."""
+    value = block.last(field, 0)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def elements(block: bytes) -> Iterator[tuple]:
     """Rows of SCHEMA in a block of data."""
-    strings: list[str] = []
-    groups, grain, lat0, lon0 = [], 100, 0, 0
-    for n, _, v in fields(block):
-        if n == 1:
-            strings = [s.decode() for k, _, s in fields(v) if k == 1]
-        elif n == 2:
-            groups.append(v)
-        elif n == 17:
-            grain = v
-        elif n == 19:
-            lat0 = v - (v >> 63 << 64)
-        elif n == 20:
-            lon0 = v - (v >> 63 << 64)
+    whole = Message(block)
+    strings = [bytes(s).decode() for table in whole.all(1) for s in Message(table).all(1)]
+    grain, lat0, lon0 = whole.last(17, 100), _offset(whole, 19), _offset(whole, 20)
     place = lambda v, zero: (zero + grain * v) // 100
-    for group in groups:
-        for n, _, v in fields(group):
-            own = {k: x for k, _, x in fields(v)}
-            tags = lambda own=own: {strings[k]: strings[x] for k, x in zip(unpacked(own.get(2, b"")), unpacked(own.get(3, b"")), strict=True)}
-            if n == 1:
-                yield "node", _signed(own[1]), place(_signed(own[8]), lat0), place(_signed(own[9]), lon0), tags(), None, None
-            elif n == 2:
-                flat, at = unpacked(own.get(10, b"")), 0
-                for i, lat, lon in zip(_deltas(own[1]), _deltas(own[8]), _deltas(own[9]), strict=True):
-                    about = {}
-                    while at < len(flat) and flat[at]:
-                        about[strings[flat[at]]] = strings[flat[at + 1]]
-                        at += 2
-                    at += 1
-                    yield "node", i, place(lat, lat0), place(lon, lon0), about, None, None
-            elif n == 3:
-                yield "way", own[1], None, None, tags(), _deltas(own.get(8, b"")), None
-            elif n == 4:
-                kinds = ("node", "way", "relation")
-                members = [(kinds[k], ref, strings[role]) for role, ref, k in zip(unpacked(own.get(8, b"")), _deltas(own.get(9, b"")), unpacked(own.get(10, b"")), strict=True)]
-                yield "relation", own[1], None, None, tags(), None, members
+
+    def tags(own: Message) -> dict[str, str]:
+        return {strings[k]: strings[v] for k, v in zip(own.numbers(2).tolist(), own.numbers(3).tolist(), strict=True)}
+
+    for group in map(Message, whole.all(2)):
+        for own in map(Message, group.all(1)):
+            i, lat, lon = signed(np.array([own.last(k) for k in (1, 8, 9)], np.uint64)).tolist()
+            yield "node", i, place(lat, lat0), place(lon, lon0), tags(own), None, None
+        for own in map(Message, group.all(2)):
+            yield from _dense(own, strings, place, lat0, lon0)
+        for own in map(Message, group.all(3)):
+            yield "way", own.last(1), None, None, tags(own), running(own.last(8, b"")).tolist(), None
+        for own in map(Message, group.all(4)):
+            kinds = ("node", "way", "relation")
+            members = [(kinds[k], ref, strings[role]) for role, ref, k in zip(own.numbers(8).tolist(), running(own.last(9, b"")).tolist(), own.numbers(10).tolist(), strict=True)]
+            yield "relation", own.last(1), None, None, tags(own), None, members
+
+
+def _dense(own: Message, strings: list[str], place, lat0: int, lon0: int) -> Iterator[tuple]:
+    """Nodes kept as columns. Their tags are one list: places of keys and values, and a 0 after each node's."""
+    ids, lats, lons = (running(own.last(k)) for k in (1, 8, 9))
+    flat = own.numbers(10).astype(np.int64)
+    ends = np.flatnonzero(flat == 0) if len(flat) else np.zeros(len(ids), np.int64)
+    begins = np.concatenate([[0], ends[:-1] + 1]) if len(flat) else ends
+    rows = zip(ids.tolist(), place(lats, lat0).tolist(), place(lons, lon0).tolist(), begins.tolist(), ends.tolist(), strict=True)
+    for i, lat, lon, a, b in rows:
+        yield "node", i, lat, lon, {strings[k]: strings[v] for k, v in flat[a:b].reshape(-1, 2).tolist()}, None, None
 
 
 def register(spark: SparkSession) -> None:

@@ -15,6 +15,7 @@ from cartoloom import sources, streaming
 from cartoloom.functions import geo, numbers, shapes
 from cartoloom.functions import tags as t
 from cartoloom.functions import vector_tiles as vt
+from cartoloom.functions import wire
 from cartoloom.operators import networks, places, rasters, sequences, tiles
 from pyspark.sql import functions as F
 
@@ -58,16 +59,32 @@ def test_joined_lines_and_wkb():
 
 
 def test_vector_tiles():
-    f = lambda i, g: {"fid": i, "kind": 1, "geometry": vt.packed([9, g, 4]), "pairs": (("a", vt.value("x")), ("n", vt.value(-3)))}
-    one = vt.encode([{"name": "l", "version": 2, "extent": 4096, "features": [f(1, 2), f(2, 3)]}])
-    two = vt.encode([{"name": "l", "version": 2, "extent": 4096, "features": [f(7, 2)]}, {"name": "m", "version": 1, "extent": 512, "features": [f(None, 5)]}])
-    odd = vt.encode([{"name": "l", "version": 2, "extent": 512, "features": [f(1, 9)]}])
-    assert vt.encode(vt.layers(one)) == one
-    both = {x["name"]: x for x in vt.layers(vt.combined([one, two, odd]))}
-    assert [len(both[k]["features"]) for k in ("l", "m")] == [2, 1]
-    assert vt.layers(gzip.decompress(vt.join_zipped(gzip.compress(one), gzip.compress(two))))[2]["name"] == "m"
+    f = lambda i, g: (i, 1, wire.number_bytes([9, g, 4]), {"a": "x", "n": -3})
+    one = vt.tile_of([vt.Layer.of("l", [f(1, 2), f(2, 3)])])
+    two = vt.tile_of([vt.Layer.of("l", [f(7, 2)]), vt.Layer.of("m", [f(None, 5), (8, 2, b"", {})], version=1, extent=512)])
+    odd = vt.tile_of([vt.Layer.of("l", [f(1, 9)], extent=512)])
+    assert vt.tile_of(vt.layers(one)) == one and vt.tile_of(vt.layers(two)) == two
+    both = {x.name: x for x in vt.layers(vt.together([one, two, odd]))}
+    assert [len(both[k]) for k in ("l", "m")] == [2, 2] and both["m"].ids == [None, 8] and both["m"].extent == 512
+    assert vt.layers(gzip.decompress(vt.end_to_end(gzip.compress(one), gzip.compress(two))))[2].name == "m"
+    a = vt.tile_of([vt.Layer.of("l", [(1, 1, b"s", {"k": "v", "q": 1.5}), (2, 1, b"t", {"z": True})])])
+    b = vt.tile_of([vt.Layer.of("l", [(9, 1, b"t", {"z": True}), (3, 1, b"s", {"q": 1.5, "k": "v"})])])
+    (joined,) = vt.layers(vt.together([b, a]))
+    assert joined.ids == [9, 3, 1] and joined.keys == [b"z", b"q", b"k"]
+    assert vt.layers(vt.together([])) == []
+
+
+def test_wire():
+    values = [0, 1, 127, 128, 300, 2**32, 2**63, 2**64 - 1]
+    assert wire.numbers(wire.number_bytes(values)).tolist() == values and wire.number_bytes([300]) == b"\xac\x02"
+    assert wire.signed(np.array([0, 1, 2, 3, 2**64 - 1], np.uint64)).tolist() == [0, -1, 1, -2, -(2**63)]
+    found = wire.Message(wire.message((1, 5), (2, b"ab"), (1, 700), (3, 0.5), (4, None)))
+    assert found.all(1) == [5, 700] and bytes(found.last(2)) == b"ab" and bytes(found.last(3)) == np.float64(0.5).tobytes() and found.last(4) is None
+    for broken in (bytes([3, 0]), b"\x80"):
+        with pytest.raises((ValueError, IndexError)):
+            wire.Message(broken)
     with pytest.raises(ValueError):
-        list(vt.fields(bytes([3])))
+        wire.numbers(b"\x80")
 
 
 def test_files(spark, tmp_path):
