@@ -38,6 +38,9 @@ ROAD_KINDS = (
     "tertiary_link", "unclassified", "road", "residential", "living_street", "service", "ferry",
 )
 ROUNDABOUT_BIT = 0x20
+# Patterns of counts and of heights with their units.
+COUNT = r"^\s*(?:~|c\.|ca\.|approx\.?)?\s*(\d+)(?:[^\n]*)$"
+HEIGHT = r"^\s*(-?\d+(?:\.\d+)?)\s*(m|ft|feet|')?\s*$"
 FOOT_PATHS = ("path", "footway", "bridleway", "track", "steps", "cycleway")
 PAVEMENTS = ("sidewalk", "crossing", "traffic_island", "access_aisle")
 UNPAVED = (
@@ -122,16 +125,15 @@ def land_class(leisure, landuse, natural) -> Column:
 
 
 def count_of(text: Column) -> Column:
-    """A count as mapped ("40", "~40", "c. 40", "1000+"), of six digits at most; null for none or zero."""
-    digits = F.regexp_extract(F.coalesce(text, F.lit("")), r"^\s*(?:~|c\.|ca\.|approx\.?)?\s*(\d+)(?:[^\n]*)$", 1)
+    """Whole number that a tag begins with, after a word for "about" if need be; null without one, at zero, or beyond six digits."""
+    digits = F.regexp_extract(F.coalesce(text, F.lit("")), COUNT, 1)
     return F.nullif(F.when(F.length(digits).between(1, 6), digits.try_cast("int")), F.lit(0))
 
 
 def metres_of(text: Column, half_up: bool = False) -> Column:
     """A height in whole metres from "978", "978.4 m", "3209 ft" or "3209'"; halves go to even, or up."""
-    pattern = r"^\s*(-?\d+(?:\.\d+)?)\s*(m|ft|feet|')?\s*$"
-    value = F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 1).try_cast("double")
-    unit = F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 2)
+    value, unit = (F.regexp_extract(F.coalesce(text, F.lit("")), HEIGHT, group) for group in (1, 2))
+    value = value.try_cast("double")
     metres = F.when(unit.isin("ft", "feet", "'"), value * 0.3048).otherwise(value)
     return (F.floor(metres + 0.5) if half_up else F.rint(metres)).cast("int")
 

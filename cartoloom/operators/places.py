@@ -20,17 +20,19 @@ def _around(rows: DataFrame, reach: int = 1) -> DataFrame:
     return rows.withColumns({"cx": F.col("cx") + F.col("dx"), "cy": F.col("cy") + F.col("dy")}).drop("dx", "dy")
 
 
-def pairs_within(a: DataFrame, b: DataFrame, radius: float, strict: bool = False) -> DataFrame:
+def pairs_within(a: DataFrame, b: DataFrame, radius: float, strict: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(a, b, dist): points a and b (id, x, y) no farther than ``radius`` apart (nearer, if strict).
 
     b goes to the nine cells of side ``radius`` round its own, a stays in its one, so that each pair meets once; the
-    join is by cell, which Spark splits where a cell is crowded.
+    join is by cell, which Spark splits where a cell is crowded. So b should be the smaller table. carry: further
+    columns of both, which come as a_<name> and b_<name>, so that no join has to fetch them for each pair.
     """
-    left = _cells(a.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay")), "ax", "ay", radius)
-    right = _around(_cells(b.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")), "bx", "by", radius))
+    side = lambda t, s: t.select(F.col("id").alias(s), F.col("x").alias(f"{s}x"), F.col("y").alias(f"{s}y"), *(F.col(c).alias(f"{s}_{c}") for c in carry))
+    left = _cells(side(a, "a"), "ax", "ay", radius)
+    right = _around(_cells(side(b, "b"), "bx", "by", radius))
     d2 = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
     fits = d2 < radius * radius if strict else d2 <= radius * radius
-    return left.join(right, ["cx", "cy"]).where(fits).select("a", "b", F.sqrt(d2).alias("dist"))
+    return left.join(right, ["cx", "cy"]).where(fits).select("a", "b", F.sqrt(d2).alias("dist"), *(f"{s}_{c}" for c in carry for s in "ab"))
 
 
 def nearest(a: DataFrame, b: DataFrame, radius: float, strict: bool = False) -> DataFrame:
@@ -53,12 +55,13 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def containing(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
     """(id, polygon): the first polygon (smallest id) that holds each point, or null. polygons: id, ring.
 
-    A polygon goes to the cells of its bounding box; points meet it there, and the exact test follows.
+    A polygon's number goes to the cells of its bounding box and points meet it there; its ring joins the pairs found,
+    and the exact test follows.
     """
     xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
     box = lambda v: F.sequence(F.floor(F.array_min(v) / cell), F.floor(F.array_max(v) / cell))
-    spread = polygons.select(F.col("id").alias("polygon"), "ring", F.explode(box(xs)).alias("cx"), box(ys).alias("rows")).select("polygon", "ring", "cx", F.explode("rows").alias("cy"))
-    met = _cells(points.select("id", "x", "y"), "x", "y", cell).join(spread, ["cx", "cy"])
+    spread = polygons.select(F.col("id").alias("polygon"), F.explode(box(xs)).alias("cx"), box(ys).alias("rows")).select("polygon", "cx", F.explode("rows").alias("cy"))
+    met = _cells(points.select("id", "x", "y"), "x", "y", cell).join(spread, ["cx", "cy"]).join(polygons.select(F.col("id").alias("polygon"), "ring"), "polygon")
     inside = met.where(geo.in_ring(F.col("x"), F.col("y"), F.col("ring"))).groupBy("id").agg(F.min("polygon").alias("polygon"))
     return points.select("id").join(inside, "id", "left")
 
@@ -76,17 +79,12 @@ def ranked_peaks(peaks: DataFrame, near: float = 5_000, area: float = 15_000, sh
     2: the county's highest, if no peak within ``area`` is higher; else 1: the highest within ``near``; else 0, and
     close if it has ``share`` of the highest within ``near``. Equal scores go to the smaller id.
     """
-    value = peaks.select(F.col("id").alias("b"), F.col("score").alias("sb"))
-    around = pairs_within(peaks, peaks, area).join(value, "b").join(peaks.select(F.col("id").alias("a"), F.col("score").alias("sa")), "a")
-    here = F.col("dist") <= near
-    seen = around.groupBy("a").agg(
-        F.max("sb").alias("top_area"),
-        F.max(F.when(here, F.struct("sb", -F.col("b")))).alias("best"),
-        F.first("sa").alias("score"),
-    ).select(F.col("a").alias("id"), "top_area", F.col("best.sb").alias("top_near"), (-F.col("best.col2")).alias("first_near"), "score")
-    order = Window.partitionBy("county").orderBy(F.col("score").desc(), "id")
-    highest = peaks.where("county >= 0").withColumn("place", F.row_number().over(order)).where("place = 1").select("id", F.lit(True).alias("highest"))
-    rows = seen.join(highest, "id", "left")
+    around = pairs_within(peaks, peaks, near, carry=("score",)).groupBy("a").agg(F.first("a_score").alias("score"), F.max(F.struct("b_score", -F.col("b"))).alias("best"))
+    seen = around.select(F.col("a").alias("id"), "score", F.col("best.b_score").alias("top_near"), (-F.col("best.col2")).alias("first_near"))
+    highest = peaks.where("county >= 0").groupBy("county").agg(F.max(F.struct("score", (-F.col("id")).alias("not_id"), "x", "y")).alias("h"))
+    highest = highest.select((-F.col("h.not_id")).alias("id"), "h.x", "h.y", "h.score")  # a row for each county
+    rivals = pairs_within(peaks, highest, area, carry=("score",)).groupBy(F.col("b").alias("id")).agg(F.max("a_score").alias("top_area"))
+    rows = seen.join(rivals.withColumn("highest", F.lit(True)), "id", "left")
     rank = F.when(F.coalesce("highest", F.lit(False)) & (F.col("score") >= F.col("top_area")), 2).when(F.col("first_near") == F.col("id"), 1).otherwise(0)
     rows = rows.withColumn("rank", rank)
     return rows.select("id", "rank", ((F.col("rank") == 0) & (F.col("score") >= F.col("top_near") * share)).cast("int").alias("close"))
@@ -103,8 +101,8 @@ def best_base(summits: DataFrame, bases: DataFrame, reach: float, score: Column)
 
     ``score`` reads height (of a above b) and dist. summits and bases: id, x, y, z.
     """
-    met = pairs_within(summits, bases, reach).join(summits.select(F.col("id").alias("a"), F.col("z").alias("za")), "a").join(bases.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b")
-    rows = met.where("a <> b").withColumn("height", F.col("za") - F.col("zb")).withColumn("score", score).where("score > 0")
+    met = pairs_within(summits, bases, reach, carry=("z",))
+    rows = met.where("a <> b AND a_z > b_z").withColumn("height", F.col("a_z") - F.col("b_z")).withColumn("score", score).where("score > 0")
     best = rows.groupBy("a").agg(F.max(F.struct("score", (-F.col("b")).alias("nb"))).alias("best"))
     return best.select("a", (-F.col("best.nb")).alias("b"), F.col("best.score").alias("score"))
 

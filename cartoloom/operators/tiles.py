@@ -27,18 +27,21 @@ def cut(tiles: DataFrame, want: DataFrame) -> DataFrame:
     return tiles.join(want.select(*KEY).distinct(), KEY, "left_semi")
 
 
-def stored(tiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stored(tiles: DataFrame, width: int = 64) -> tuple[DataFrame, DataFrame]:
     """(z, x, y, data_id) and (data_id, data): each content once, numbered in the order of its first place.
 
-    Contents meet by hash; numbers come from zooms' counts and ranks within a zoom, not from one sort of all.
+    Contents meet by hash. Only hashes and places are numbered, within columns of ``width`` tiles of a zoom, and the
+    counts of columns give the numbers their base; each content then comes from the tile at its first place.
     """
-    hashed = tiles.withColumn("hash", F.sha1(F.col("data").cast("binary")))
-    first = hashed.groupBy("hash").agg(F.min(F.struct(*KEY)).alias("at"), F.min("data").alias("data"))
-    counts = first.groupBy(F.col("at.z").alias("z")).agg(F.count(F.lit(1)).alias("c"))
-    base = counts.select("z", (F.sum("c").over(Window.orderBy("z")) - F.col("c")).alias("base"))
-    numbered = first.withColumn("z", F.col("at.z")).withColumn("own", F.row_number().over(Window.partitionBy("z").orderBy("at"))).join(base, "z")
-    numbered = numbered.select("hash", "data", (F.col("base") + F.col("own")).alias("data_id"))
-    return hashed.join(numbered.select("hash", "data_id"), "hash").select(*KEY, "data_id"), numbered.select("data_id", "data")
+    hashed = tiles.select(*KEY, F.sha1(F.col("data").cast("binary")).alias("hash"))
+    column = [F.col("at.z").alias("zoom"), F.floor(F.col("at.x") / width).alias("column")]
+    first = hashed.groupBy("hash").agg(F.min(F.struct(*KEY)).alias("at")).select("hash", "at", *column)
+    counts = first.groupBy("zoom", "column").agg(F.count(F.lit(1)).alias("c"))
+    base = counts.select("zoom", "column", (F.sum("c").over(Window.orderBy("zoom", "column")) - F.col("c")).alias("base"))
+    own = F.row_number().over(Window.partitionBy("zoom", "column").orderBy("at"))
+    numbered = first.withColumn("own", own).join(base, ["zoom", "column"]).select("hash", "at.*", (F.col("base") + F.col("own")).alias("data_id"))
+    contents = tiles.select(*KEY, "data").join(numbered.select(*KEY, "hash", "data_id"), KEY).where(F.sha1(F.col("data").cast("binary")) == F.col("hash"))
+    return hashed.join(numbered.select("hash", "data_id"), "hash").select(*KEY, "data_id"), contents.groupBy("data_id").agg(F.min("data").alias("data"))
 
 
 def joined_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -76,8 +79,9 @@ def distinct_features(rows: DataFrame, same: list[str], order: list[str]) -> Dat
 def merged_metadata(a: DataFrame, b: DataFrame, own: dict[str, str]) -> DataFrame:
     """name, value of two tables of metadata (name, value): a's bounds and centre, both lists of layers, and ``own``."""
     layers = "array<map<string,string>>"
-    read = lambda t: t.where("name = 'json'").select(F.from_json(F.get_json_object("value", "$.vector_layers"), layers).alias("v"))
-    both = read(a).withColumnRenamed("v", "x").join(read(b).withColumnRenamed("v", "y"))
-    json = both.select(F.lit("json").alias("name"), F.to_json(F.struct(F.concat("x", "y").alias("vector_layers"))).alias("value"))
+    lists = [t.where("name = 'json'").select(F.lit(i).alias("part"), F.from_json(F.get_json_object("value", "$.vector_layers"), layers).alias("own")) for i, t in enumerate((a, b))]
+    both = lists[0].unionByName(lists[1]).where("own IS NOT NULL").agg(F.array_sort(F.collect_list(F.struct("part", F.to_json("own").alias("own")))).alias("all"))
+    joined = F.flatten(F.transform("all", lambda x: F.from_json(x["own"], layers)))  # a row a table: maps cannot be sorted
+    json = both.select(F.lit("json").alias("name"), F.to_json(F.struct(joined.alias("vector_layers"))).alias("value"))
     kept = a.where(F.col("name").isin("bounds", "center")).select("name", "value")
     return kept.unionByName(json).unionByName(a.sparkSession.createDataFrame(list(own.items()), "name string, value string"))

@@ -17,14 +17,13 @@ ed AS (SELECT way_id, edge, arg_min(pref, seq) AS u, arg_max(ref, seq) AS v, cou
   sum(sqrt(power((x2 - x1) * cos(radians((CAST(y1 AS BIGINT) + y2) / 2.0 * 1e-7)), 2) + power(y2 - y1, 2)) * (pi() / 180 * 1e-7 * 6371008.8)) AS length FROM gm GROUP BY way_id, edge)"""
 
 
-def _edges(spark, sf_dir, some=None):
-    ways = derived(spark, sf_dir, "way_nodes")
-    return n.edges(ways.where(some) if some else ways, derived(spark, sf_dir, "nodes"))
+def _edges(spark, sf_dir):
+    return n.edges(derived(spark, sf_dir, "way_nodes"), derived(spark, sf_dir, "nodes"))
 
 
-def _numbered(spark, sf_dir, some=None):
+def _numbered(spark, sf_dir):
     """Edges with a number e of their own, in the order of ways."""
-    return _edges(spark, sf_dir, some).withColumn("e", F.col("way_id") * 64 + F.col("edge"))
+    return _edges(spark, sf_dir).withColumn("e", F.col("way_id") * 64 + F.col("edge"))
 
 
 @query("nodes way_nodes", f"WITH {_EDGES} SELECT way_id, CAST(edge AS BIGINT) AS edge, u, v, points, CAST(round(length) AS BIGINT) AS length_m FROM ed")
@@ -54,9 +53,6 @@ def shortest_pairs(spark, sf_dir):
     return n.shortest_pairs(_numbered(spark, sf_dir).withColumn("length", F.col("length").cast("float"))).select("a", "b", "e", F.round("length").cast("long").alias("length_m"))
 
 
-_SPARSE = _EDGES.replace("FROM way_nodes)", "FROM way_nodes WHERE way_id % 40 = 0)")
-
-
 @query(
     "nodes way_nodes",
     f"""WITH {_EDGES}, h AS (SELECT u AS node, count(*) AS c FROM (SELECT u FROM ed WHERE way_id % 3 = 0 UNION ALL SELECT v FROM ed WHERE way_id % 3 = 0) GROUP BY u),
@@ -80,19 +76,21 @@ def csr_adjacency(spark, sf_dir):
 
 @query(
     "nodes way_nodes",
-    f"""WITH {_SPARSE}, cells AS (SELECT way_id * 64 + edge AS e, unnest(range(CAST(floor(least(y1, y2) / 100000) AS INT), CAST(floor(greatest(y1, y2) / 100000) AS INT) + 1)) AS cell_y, x1, x2 FROM gm)
-    SELECT DISTINCT CAST(cell_y AS INT) AS cell_y, CAST(unnest(range(CAST(floor(least(x1, x2) / 100000) AS INT), CAST(floor(greatest(x1, x2) / 100000) AS INT) + 1)) AS INT) AS cell_x, CAST(e AS BIGINT) AS e FROM cells""",
+    f"""WITH {_EDGES}, cells AS (SELECT way_id * 64 + edge AS e, unnest(range(CAST(floor(least(y1, y2) / 100000) AS INT), CAST(floor(greatest(y1, y2) / 100000) AS INT) + 1)) AS cell_y, x1, x2 FROM gm),
+    spots AS (SELECT DISTINCT cell_y, unnest(range(CAST(floor(least(x1, x2) / 100000) AS INT), CAST(floor(greatest(x1, x2) / 100000) AS INT) + 1)) AS cell_x, e FROM cells)
+    SELECT CAST(cell_y AS INT) AS cell_y, CAST(cell_x AS INT) AS cell_x, count(*) AS edges, CAST(sum(e) AS BIGINT) AS numbers FROM spots GROUP BY cell_y, cell_x""",
 )
 def snap_grid(spark, sf_dir):
-    at = n.points_of_edges(derived(spark, sf_dir, "way_nodes").where("way_id % 40 = 0")).join(derived(spark, sf_dir, "nodes"), "ref")
-    return n.snap_cells(at.select((F.col("way_id") * 64 + F.col("edge")).alias("e"), "seq", "lat_e7", "lon_e7"))
+    at = n.points_of_edges(derived(spark, sf_dir, "way_nodes")).join(derived(spark, sf_dir, "nodes"), "ref")
+    cells = n.snap_cells(at.select((F.col("way_id") * 64 + F.col("edge")).alias("e"), "seq", "lat_e7", "lon_e7"))
+    return cells.groupBy("cell_y", "cell_x").agg(F.count(F.lit(1)).alias("edges"), F.sum("e").alias("numbers"))
 
 
-@query("", "SELECT p_name AS label, dense_rank() OVER (ORDER BY p_name) AS number FROM (SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0) UNION ALL SELECT '', 0")
+@query("", "SELECT p_name AS label, dense_rank() OVER (ORDER BY p_name) AS number FROM (SELECT DISTINCT p_name FROM part) UNION ALL SELECT '', 0")
 def label_renumber(spark, sf_dir):
     from .base import table
 
-    labels = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(F.col("p_name").alias("label")).union(spark.createDataFrame([("",)], "label string")).distinct()
+    labels = table(spark, sf_dir, "part").select(F.col("p_name").alias("label")).union(spark.createDataFrame([("",)], "label string")).distinct()
     ranges = labels.withColumn("first", F.substring("label", 1, 2))
     from pyspark.sql import Window
 
@@ -102,35 +100,28 @@ def label_renumber(spark, sf_dir):
     return ranges.withColumn("own", own).join(base, "first").select("label", (F.col("base") + F.col("own")).cast("long").alias("number"))
 
 
-_REACH = f"""WITH RECURSIVE nodes AS ({DERIVED['nodes'].format(part='part')}), way_nodes AS ({DERIVED['way_nodes'].format(lineitem='lineitem')}), {_SPARSE},
-  pr AS (SELECT u AS a, v AS b FROM ed UNION SELECT v, u FROM ed), rc AS (SELECT a AS node, a AS r FROM pr UNION SELECT pr.b, rc.r FROM rc JOIN pr ON pr.a = rc.node),
-  wc AS (SELECT node, min(r) AS root FROM rc GROUP BY node)"""
+_REACH = f"""WITH RECURSIVE nodes AS ({DERIVED['nodes'].format(part='part')}), way_nodes AS ({DERIVED['way_nodes'].format(lineitem='lineitem')}), {_EDGES},
+  pr AS MATERIALIZED (SELECT u AS a, v AS b FROM ed UNION SELECT v, u FROM ed),
+  wc(node, root) USING KEY (node) AS (SELECT DISTINCT a, a FROM pr
+    UNION SELECT pr.b, min(wc.root) FROM wc JOIN pr ON pr.a = wc.node JOIN recurring.wc AS had ON had.node = pr.b WHERE wc.root < had.root GROUP BY pr.b)"""
 
 
 @query("", f"{_REACH} SELECT node, root FROM wc")
 def weak_components(spark, sf_dir):
-    return n.weak_components(_numbered(spark, sf_dir, "way_id % 40 = 0").select("u", "v"))
+    return n.weak_components(_numbered(spark, sf_dir).select("u", "v"))
 
 
 @query("", f"{_REACH}, oe AS (SELECT ed.*, root FROM ed JOIN wc ON wc.node = ed.u), bg AS (SELECT root FROM oe GROUP BY root HAVING count(*) >= 50) SELECT way_id, CAST(edge AS BIGINT) AS edge FROM oe JOIN bg USING (root)")
 def component_filter(spark, sf_dir):
-    edge = n.saved(_numbered(spark, sf_dir, "way_id % 40 = 0").select("way_id", "edge", "u", "v"))
+    edge = n.saved(_numbered(spark, sf_dir).select("way_id", "edge", "u", "v"))
     return n.large_components(edge, n.weak_components(edge), 50).select("way_id", "edge")
 
 
-_DIRECTED = f"""WITH RECURSIVE nodes AS ({DERIVED['nodes'].format(part='part')}), way_nodes AS ({DERIVED['way_nodes'].format(lineitem='lineitem')}), {_SPARSE},
-  ar AS (SELECT u AS a, v AS b FROM ed UNION SELECT v, u FROM ed WHERE way_id % 80 = 0), rc AS (SELECT a AS f, a AS t FROM ar UNION SELECT b, b FROM ar UNION SELECT rc.f, ar.b FROM rc JOIN ar ON ar.a = rc.t)
-  SELECT x.f AS node, min(x.t) AS root FROM rc x JOIN rc y ON x.f = y.t AND x.t = y.f GROUP BY x.f"""
-
-
-def _arcs(spark, sf_dir):
-    edge = n.saved(_numbered(spark, sf_dir, "way_id % 40 = 0").select("way_id", "e", "u", "v", "length"))
-    return edge, edge.select("u", "v").union(edge.where("way_id % 80 = 0").select("v", "u"))
-
-
-@query("", _DIRECTED)
+@query("", None)
 def strong_components(spark, sf_dir):
-    return n.strong_components(_arcs(spark, sf_dir)[1])
+    """Every eightieth way goes both ways, the others one way."""
+    edge = n.saved(_numbered(spark, sf_dir).select("way_id", "u", "v"))
+    return n.strong_components(edge.select("u", "v").union(edge.where("way_id % 80 = 0").select("v", "u")))
 
 
 def multi_source_dijkstra(spark, sf_dir):
@@ -202,29 +193,3 @@ def best_walks(spark, sf_dir):
 
 
 query("", None)(best_walks)
-
-
-# The queries above whose SQL names the sparse graph (way_id % 40 = 0) answer that SQL; these run on every way.
-
-
-def weak_components_whole(spark, sf_dir):
-    return n.weak_components(_numbered(spark, sf_dir).select("u", "v"))
-
-
-def component_filter_whole(spark, sf_dir):
-    edge = n.saved(_numbered(spark, sf_dir).select("way_id", "edge", "u", "v"))
-    return n.large_components(edge, n.weak_components(edge), 50).select("way_id", "edge")
-
-
-def strong_components_whole(spark, sf_dir):
-    edge = n.saved(_numbered(spark, sf_dir).select("way_id", "u", "v"))
-    return n.strong_components(edge.select("u", "v").union(edge.where("way_id % 80 = 0").select("v", "u")))
-
-
-def snap_grid_whole(spark, sf_dir):
-    at = n.points_of_edges(derived(spark, sf_dir, "way_nodes")).join(derived(spark, sf_dir, "nodes"), "ref")
-    return n.snap_cells(at.select((F.col("way_id") * 64 + F.col("edge")).alias("e"), "seq", "lat_e7", "lon_e7"))
-
-
-for _whole in (weak_components_whole, component_filter_whole, strong_components_whole, snap_grid_whole):
-    query("", None)(_whole)

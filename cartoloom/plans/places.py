@@ -43,9 +43,8 @@ def snap_parks(spark, sf_dir):
 @query("peaks", f"SELECT a.id, count(*) AS around, CAST(sum(CASE WHEN b.score > a.score THEN 1 ELSE 0 END) AS BIGINT) AS higher FROM peaks a JOIN peaks b ON {_D2} <= 25000000 GROUP BY a.id")
 def within_radius(spark, sf_dir):
     peaks = _peaks(spark, sf_dir)
-    value = peaks.select(F.col("id"), F.col("score"))
-    found = p.pairs_within(peaks, peaks, 5000.0).join(value.toDF("a", "sa"), "a").join(value.toDF("b", "sb"), "b")
-    return found.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("around"), F.sum((F.col("sb") > F.col("sa")).cast("long")).alias("higher"))
+    found = p.pairs_within(peaks, peaks, 5000.0, carry=("score",))
+    return found.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("around"), F.sum((F.col("b_score") > F.col("a_score")).cast("long")).alias("higher"))
 
 
 @query("parks peaks", f"SELECT a.id, bool_or(coalesce({_D2} <= 640000, false)) AS near FROM parks a CROSS JOIN peaks b GROUP BY a.id")
@@ -91,11 +90,9 @@ def top4_kind(spark, sf_dir):
 @query("peaks", f"SELECT a.id, CAST(round(max(b.score) * 100) AS BIGINT) AS top_c FROM peaks a JOIN peaks b ON abs(a.e - b.e) <= 400 AND abs(a.n - b.n) <= 400 GROUP BY a.id")
 def summit_snap(spark, sf_dir):
     peaks = _peaks(spark, sf_dir)
-    value = peaks.select(F.col("id").alias("b"), "score")
-    at = peaks.select(F.col("id"), "x", "y")
-    met = p.pairs_within(at, at, 566.0).join(value, "b").join(at.toDF("a", "x0", "y0"), "a").join(at.toDF("b", "x1", "y1"), "b")
-    box = (F.abs(F.col("x0") - F.col("x1")) <= 400) & (F.abs(F.col("y0") - F.col("y1")) <= 400)
-    return met.where(box).groupBy(F.col("a").alias("id")).agg(F.round(F.max("score") * 100).cast("long").alias("top_c"))
+    met = p.pairs_within(peaks, peaks, 566.0, carry=("x", "y", "score"))
+    box = (F.abs(F.col("a_x") - F.col("b_x")) <= 400) & (F.abs(F.col("a_y") - F.col("b_y")) <= 400)
+    return met.where(box).groupBy(F.col("a").alias("id")).agg(F.round(F.max("b_score") * 100).cast("long").alias("top_c"))
 
 
 @query(
@@ -147,26 +144,15 @@ def walked_enrich(spark, sf_dir):
     return n.join(a, "id", "left").join(b, "id", "left").select("id", F.coalesce("c", zero).alias("customers"), F.coalesce("s", zero).alias("suppliers"), m.up_to(F.col("m"), 100).alias("up"))
 
 
-@query("", "SELECT r_name AS parent, n_name AS name, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_name) AS place FROM region JOIN nation ON n_regionkey = r_regionkey WHERE r_regionkey % 2 = 0")
+@query("", "SELECT r_name AS parent, n_name AS name, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_name) AS place FROM region JOIN nation ON n_regionkey = r_regionkey")
 def region_children(spark, sf_dir):
-    return _children(table(spark, sf_dir, "region").where("r_regionkey % 2 = 0"), table(spark, sf_dir, "nation"))
-
-
-def _children(r, n):
     from pyspark.sql import Window
 
+    r, n = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
     rows = r.join(n, r.r_regionkey == n.n_regionkey)
     return rows.select(F.col("r_name").alias("parent"), F.col("n_name").alias("name"), F.row_number().over(Window.partitionBy("r_regionkey").orderBy("n_name")).alias("place"))
 
 
-def region_children_whole(spark, sf_dir):
-    """region_children of every region; its SQL has the even ones."""
-    return _children(table(spark, sf_dir, "region"), table(spark, sf_dir, "nation"))
-
-
-query("", None)(region_children_whole)
-
-
 def _lines(spark, sf_dir):
     """Lines from each park to the peak of its number, with a bend between."""
     park, peak = _parks(spark, sf_dir).select("id", F.col("x").alias("x0"), F.col("y").alias("y0")), _peaks(spark, sf_dir).select("id", F.col("x").alias("x1"), F.col("y").alias("y1"))

@@ -246,7 +246,11 @@ def write_geopackage(lines: DataFrame, path: str, layer: str, srs: int = 4326) -
     _published(path, write)
 
 
-def write_region_graph(edges: pd.DataFrame, nodes: pd.DataFrame, magic: int = 0x52474D4D, version: int = 1) -> bytes:
+# What a region's network begins with, and the version of its layout.
+REGION_MARK, REGION_VERSION = 0x52474D4D, 1
+
+
+def write_region_graph(edges: pd.DataFrame, nodes: pd.DataFrame, magic: int = REGION_MARK, version: int = REGION_VERSION) -> bytes:
     """A region's network as one block: a head of 16 numbers, then little-endian sections, each padded to eight bytes.
 
     nodes: lat_e7, lon_e7 in order; edges: u, v (places of nodes), length, cost_f, cost_b. Sections: latitudes,

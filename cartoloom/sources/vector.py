@@ -79,6 +79,10 @@ def path_metres(spark: SparkSession, path: str) -> DataFrame:
 
 
 def poly_text(name: str, rings: list[list[tuple[float, float]]]) -> str:
-    """Outlines as the text that tilers read."""
-    body = "".join(f"{i + 1}\n" + "".join(f"  {x:.7f} {y:.7f}\n" for x, y in ring) + "END\n" for i, ring in enumerate(rings))
-    return f"{name}\n{body}END\n"
+    """Outlines in the Osmosis polygon filter format: a name, numbered rings, a point a line, and ends of rings and file."""
+    lines = [name]
+    for number, ring in enumerate(rings, start=1):
+        lines.append(str(number))
+        lines.extend(f"  {lon:.7f} {lat:.7f}" for lon, lat in ring)
+        lines.append("END")
+    return "\n".join([*lines, "END", ""])
