@@ -79,13 +79,15 @@ def ranked_peaks(peaks: DataFrame, near: float = 5_000, area: float = 15_000, sh
     2: the county's highest, if no peak within ``area`` is higher; else 1: the highest within ``near``; else 0, and
     close if it has ``share`` of the highest within ``near``. Equal scores go to the smaller id.
     """
-    around = pairs_within(peaks, peaks, near, carry=("score",)).groupBy("a").agg(F.first("a_score").alias("score"), F.max(F.struct("b_score", -F.col("b"))).alias("best"))
-    seen = around.select(F.col("a").alias("id"), "score", F.col("best.b_score").alias("top_near"), (-F.col("best.col2")).alias("first_near"))
+    beaten = (F.col("b_score") > F.col("a_score")) | (F.col("b_score") == F.col("a_score")) & (F.col("b") < F.col("a"))
+    # sums of plain numbers, which aggregate by hash: the highest of structs would sort all pairs
+    around = pairs_within(peaks, peaks, near, carry=("score",)).groupBy("a").agg(F.max("a_score").alias("score"), F.max("b_score").alias("top_near"), F.max(beaten.cast("int")).alias("beaten"))
+    seen = around.withColumnRenamed("a", "id")
     highest = peaks.where("county >= 0").groupBy("county").agg(F.max(F.struct("score", (-F.col("id")).alias("not_id"), "x", "y")).alias("h"))
     highest = highest.select((-F.col("h.not_id")).alias("id"), "h.x", "h.y", "h.score")  # a row for each county
     rivals = pairs_within(peaks, highest, area, carry=("score",)).groupBy(F.col("b").alias("id")).agg(F.max("a_score").alias("top_area"))
     rows = seen.join(rivals.withColumn("highest", F.lit(True)), "id", "left")
-    rank = F.when(F.coalesce("highest", F.lit(False)) & (F.col("score") >= F.col("top_area")), 2).when(F.col("first_near") == F.col("id"), 1).otherwise(0)
+    rank = F.when(F.coalesce("highest", F.lit(False)) & (F.col("score") >= F.col("top_area")), 2).when(F.col("beaten") == 0, 1).otherwise(0)
     rows = rows.withColumn("rank", rank)
     return rows.select("id", "rank", ((F.col("rank") == 0) & (F.col("score") >= F.col("top_near") * share)).cast("int").alias("close"))
 
