@@ -239,7 +239,9 @@ def _from_blobs(table: pa.Table, name: str, kind) -> np.ndarray:
 def repeated_spans(docs: DataFrame, parts: int) -> DataFrame:
     """(part, ids, begins, ends): packed spans of repeated bytes of documents (part, doc_id, text), part < parts.
 
-    1. Tasks find the anchors of their texts and send (hash, document, place) to the part of the hash, packed.
+    1. Tasks find the anchors of their texts, PACKED or so at a time. Of those with one hash the first goes to the part
+       of the hash; the others are known to repeat and go to the parts of their documents, so that a hash that stands in
+       many documents costs its part one entry for each run of anchors.
     2. Each part names the anchors whose hash occurs twice and sends them to the parts of their documents.
     3. There the contexts of those anchors are compared with each other, so that only the first of equal windows
        within a part go on: however often a passage repeats, a part sends its context once.
@@ -247,12 +249,20 @@ def repeated_spans(docs: DataFrame, parts: int) -> DataFrame:
     """
     deal = _dealer(parts)
 
-    names = ["part", "keys", "ids", "places"]
+    names = ["part", "keys", "ids", "places", "sure"]
 
     def send(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         key, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
-        rows = [(p, key[own].tobytes(), doc[own].tobytes(), place[own].tobytes()) for p, own in deal(key)]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int32()) for i in range(4)], names=names)
+        order = np.argsort(key, kind="stable")
+        key, doc, place = key[order], doc[order], place[order]
+        first, again = np.ones(len(key), bool), np.zeros(len(key), bool)
+        first[1:] = key[1:] != key[:-1]
+        again[:-1] = first[:-1] & ~first[1:]
+        rest = np.flatnonzero(~first)
+        key, sure = key[first], again[first]
+        rows = [(p, key[own].tobytes(), doc[first][own].tobytes(), place[first][own].tobytes(), sure[own].tobytes()) for p, own in deal(key)]
+        rows += [(p, None, doc[rest[own]].tobytes(), place[rest[own]].tobytes(), None) for p, own in deal(doc[rest])]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int32()) for i in range(5)], names=names)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, ...]] = []
@@ -272,14 +282,18 @@ def repeated_spans(docs: DataFrame, parts: int) -> DataFrame:
     packed = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("places", pa.binary())])
 
     def name(table: pa.Table) -> pa.Table:
-        key, doc, place = (_from_blobs(table, c, t) for c, t in (("keys", U64), ("ids", np.int64), ("places", np.int32)))
+        known = table.filter(pc.is_null(table.column("keys"))).select(["part", "ids", "places"])
+        table = table.filter(pc.is_valid(table.column("keys")))
+        key, doc, place, sure = (_from_blobs(table, c, t) for c, t in (("keys", U64), ("ids", np.int64), ("places", np.int32), ("sure", bool)))
         order = np.argsort(key, kind="stable")
         key = key[order]
         twice = np.zeros(len(key), bool)
         twice[1:] = key[1:] == key[:-1]
         twice[:-1] |= twice[1:]
+        twice |= sure[order]
         doc, place = doc[order[twice]], place[order[twice]]
-        rows = [(p, doc[own].tobytes(), place[own].tobytes()) for p, own in deal(doc)]
+        rows = [tuple(r.values()) for r in known.to_pylist()]  # named where they were found
+        rows += [(p, doc[own].tobytes(), place[own].tobytes()) for p, own in deal(doc)]
         return pa.table([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(packed)], schema=packed)
 
     sent = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()), ("places", pa.binary()), ("lefts", pa.binary()), ("counts", pa.binary()), ("data", pa.binary())])
@@ -342,7 +356,7 @@ def repeated_spans(docs: DataFrame, parts: int) -> DataFrame:
         release()
         return pa.table([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(spans)], schema=spans)
 
-    found = docs.select("doc_id", "text").mapInArrow(find, "part int, keys binary, ids binary, places binary")
+    found = docs.select("doc_id", "text").mapInArrow(find, "part int, keys binary, ids binary, places binary, sure binary")
     named = found.groupBy("part").applyInArrow(name, "part int, ids binary, places binary")
     texts = docs.select("part", "doc_id", "text")
     met = texts.groupBy("part").cogroup(named.groupBy("part")).applyInArrow(compare, "part int, keys binary, ids binary, places binary, lefts binary, counts binary, data binary")
