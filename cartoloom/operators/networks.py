@@ -198,6 +198,35 @@ def nearest_sources(arcs: DataFrame, sources: DataFrame, limit: float) -> DataFr
     return best.select("node", F.col("b.dist").alias("dist"), F.col("b.source").alias("source"))
 
 
+def parks_of_edges(edge: DataFrame, nearest: DataFrame, extra: DataFrame, reach: float) -> DataFrame:
+    """(e, source, metres): the source nearest to each edge's nearer end, the first end's of equals.
+
+    edge: e, u, v; nearest: node, dist, source, as nearest_sources gives them; extra: source, extra, which dist holds
+    and metres do not. Edges that no source reaches, or only by more than ``reach`` metres, are left out.
+    """
+    u, v = (nearest.select(F.col("node").alias(c), F.struct("dist", "source").alias(f"at_{c}")) for c in "uv")
+    ends = edge.select("e", "u", "v").join(u, "u", "left").join(v, "v", "left")
+    first = F.col("at_u").isNotNull() & (F.col("at_v").isNull() | (F.col("at_u.dist") <= F.col("at_v.dist")))
+    rows = ends.withColumn("at", F.when(first, F.col("at_u")).otherwise(F.col("at_v"))).where("at IS NOT NULL").select("e", "at.*")
+    rows = rows.join(extra, "source").select("e", "source", (F.col("dist") - F.col("extra")).alias("metres"))
+    return rows.where(F.col("metres") <= reach)
+
+
+def areas_of_walks(points: DataFrame, sources: DataFrame, cell: tuple[float, float], pad: tuple[float, float]) -> DataFrame:
+    """(cell_y, cell_x, e): the edges that walks from the sources of each cell can use.
+
+    points: e, lat, lon of an edge's first node; sources: lat, lon. cell: a cell's height and width in degrees; pad:
+    how far beyond it edges count. Edges go to every cell whose padded box holds them, and stay where a source is:
+    an equi-join by cell, so that walks are searched in parts of the network of bounded extent.
+    """
+    low = lambda c, k: F.ceil((F.col(c) - pad[k]) / cell[k] - 1).cast("int")
+    high = lambda c, k: F.floor((F.col(c) + pad[k]) / cell[k]).cast("int")
+    held = sources.select(F.floor(F.col("lat") / cell[0]).cast("int").alias("cell_y"), F.floor(F.col("lon") / cell[1]).cast("int").alias("cell_x")).distinct()
+    spread = points.select("e", F.explode(F.sequence(low("lat", 0), high("lat", 0))).alias("cell_y"), low("lon", 1).alias("a"), high("lon", 1).alias("b"))
+    spread = spread.select("e", "cell_y", F.explode(F.sequence("a", "b")).alias("cell_x"))
+    return spread.join(held, ["cell_y", "cell_x"]).select("cell_y", "cell_x", "e")
+
+
 def round_walks(network: DataFrame, group: str, limit: float = 5000.0, longest: float = 10_000.0, most_shared: float = 0.4) -> DataFrame:
     """(group, source, e, metres, shared): for each edge outside the tree of shortest ways from a group's source, the
     round walk that it closes, with the metres that are walked twice.

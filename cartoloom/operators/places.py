@@ -73,6 +73,24 @@ def squares_touching(boxes: DataFrame, size: float) -> DataFrame:
     return rows.select("id", "sx", F.explode("ys").alias("sy"))
 
 
+def listed_squares(boxes: DataFrame, listed: DataFrame, reach: float) -> DataFrame:
+    """(lat, lon): south-west corners of the one-degree squares within ``reach`` degrees of any box (x0, y0, x1, y1)
+    that a list (lat, lon) of existing squares has."""
+    grown = boxes.select(F.lit(0).alias("id"), *((F.col(c) + (reach if c[1] == "1" else -reach)).alias(c) for c in ("x0", "y0", "x1", "y1")))
+    near = squares_touching(grown, 1.0).select(F.col("sy").cast("int").alias("lat"), F.col("sx").cast("int").alias("lon")).distinct()
+    return near.join(listed.select("lat", "lon"), ["lat", "lon"], "left_semi")
+
+
+def joined_ends(ends: DataFrame, points: DataFrame, reach: float) -> DataFrame:
+    """(id, b, x, y): loose ends of lines (id, x, y), moved on to the nearest point of a way (id, x, y) within reach.
+
+    b is that point's id; ends that no way is near stay where they are, with b null.
+    """
+    found = nearest(ends, points, reach).select(F.col("a").alias("id"), "b")
+    rows = ends.join(found, "id").join(points.select(F.col("id").alias("b"), F.col("x").alias("to_x"), F.col("y").alias("to_y")), "b", "left")
+    return rows.select("id", "b", F.coalesce("to_x", "x").alias("x"), F.coalesce("to_y", "y").alias("y"))
+
+
 def ranked_peaks(peaks: DataFrame, near: float = 5_000, area: float = 15_000, share: float = 0.9) -> DataFrame:
     """id, rank, close of peaks (id, x, y, score, county; -1 for none).
 

@@ -124,14 +124,63 @@ def strong_components(spark, sf_dir):
     return n.strong_components(edge.select("u", "v").union(edge.where("way_id % 80 = 0").select("v", "u")))
 
 
+def _nearest_sql(sources: str, limit: int) -> str:
+    """SQL whose table ``near`` (node, d, s) holds the nearest source of each node; sources: node, d."""
+    return f"""WITH RECURSIVE nodes AS ({DERIVED['nodes'].format(part='part')}), way_nodes AS ({DERIVED['way_nodes'].format(lineitem='lineitem')}), {_EDGES},
+  ar AS MATERIALIZED (SELECT a, b, min(c) AS c FROM (SELECT u AS a, v AS b, CAST(round(length) AS BIGINT) AS c FROM ed UNION ALL SELECT v, u, CAST(round(length) AS BIGINT) FROM ed) WHERE a <> b GROUP BY a, b),
+  near(node, d, s) USING KEY (node) AS ({sources}
+    UNION SELECT o.b, o.m.d, o.m.s FROM (SELECT ar.b, min(struct_pack(d := near.d + ar.c, s := near.s)) AS m FROM near JOIN ar ON ar.a = near.node WHERE near.d + ar.c <= {limit} GROUP BY ar.b) o
+    LEFT JOIN recurring.near AS had ON had.node = o.b WHERE had.node IS NULL OR o.m < struct_pack(d := had.d, s := had.s))"""
+
+
+def _rounded(spark, sf_dir):
+    edge = n.saved(_numbered(spark, sf_dir).select("e", "u", "v", F.round("length").cast("long").alias("cost")))
+    return edge, edge.select("u", "v", "cost").union(edge.select("v", "u", "cost")).where("u <> v")
+
+
+@query("", f"{_nearest_sql('SELECT DISTINCT u, CAST(u % 700 AS BIGINT), u FROM ed', 200_000)} SELECT node, d AS dist, s AS source FROM near")
 def multi_source_dijkstra(spark, sf_dir):
-    edge = n.saved(_numbered(spark, sf_dir).select("u", "v", F.round("length").cast("long").alias("cost")))
-    arcs = edge.union(edge.select("v", "u", "cost"))
+    edge, arcs = _rounded(spark, sf_dir)
     sources = edge.select(F.col("u").alias("node")).distinct().select("node", F.col("node").alias("source"), (F.col("node") % 700).cast("long").alias("offset"))
-    return n.nearest_sources(arcs.where("u <> v"), sources, 200_000)
+    return n.nearest_sources(arcs, sources, 200_000)
+
 
+_PARKS = "SELECT ref, CAST(floor(1500 / sqrt(1 + ref % 120)) AS BIGINT), ref FROM nodes WHERE ref IN (SELECT s_suppkey FROM supplier)"
+
+
+@query(
+    "",
+    f"""{_nearest_sql(_PARKS, 60_000)}, x AS (SELECT way_id * 64 + edge AS e, CASE WHEN a.d IS NOT NULL AND (b.d IS NULL OR a.d <= b.d) THEN a.s ELSE b.s END AS source, CASE WHEN a.d IS NOT NULL AND (b.d IS NULL OR a.d <= b.d) THEN a.d ELSE b.d END AS d
+    FROM ed LEFT JOIN near a ON a.node = u LEFT JOIN near b ON b.node = v)
+    SELECT CAST(e AS BIGINT) AS e, source, d - CAST(floor(1500 / sqrt(1 + source % 120)) AS BIGINT) AS metres FROM x WHERE source IS NOT NULL AND d - CAST(floor(1500 / sqrt(1 + source % 120)) AS BIGINT) <= 50000""",
+)
+def edge_parks(spark, sf_dir):
+    """The car park of each edge, by its nearer end; car parks stand at the nodes that have a supplier's number."""
+    from .base import table
+
+    edge, arcs = _rounded(spark, sf_dir)
+    extra = F.floor(F.lit(1500.0) / F.sqrt(1 + F.col("node") % 120)).cast("long")
+    at = derived(spark, sf_dir, "nodes").select(F.col("ref").alias("node")).join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node")).distinct(), "node", "left_semi")
+    sources = at.select("node", F.col("node").alias("source"), extra.alias("offset"))
+    nearest = n.nearest_sources(arcs, sources, 60_000)
+    return n.parks_of_edges(edge, nearest, sources.select("source", F.col("offset").alias("extra")), 50_000)
+
+
+@query(
+    "nodes way_nodes",
+    f"""WITH {_EDGES}, p AS (SELECT way_id * 64 + edge AS e, lat_e7 * 1e-7 AS lat, lon_e7 * 1e-7 AS lon FROM ed JOIN nodes ON ref = u),
+    c AS (SELECT DISTINCT CAST(floor(lat_e7 * 1e-7 / 0.05) AS INT) AS cell_y, CAST(floor(lon_e7 * 1e-7 / 0.1) AS INT) AS cell_x FROM nodes WHERE ref IN (SELECT s_suppkey FROM supplier))
+    SELECT cell_y, cell_x, count(*) AS edges, CAST(sum(e) AS BIGINT) AS numbers FROM c JOIN p ON cell_y >= ceil((lat - 0.02) / 0.05 - 1) AND cell_y <= floor((lat + 0.02) / 0.05)
+      AND cell_x >= ceil((lon - 0.03) / 0.1 - 1) AND cell_x <= floor((lon + 0.03) / 0.1) GROUP BY cell_y, cell_x""",
+)
+def walk_areas(spark, sf_dir):
+    from .base import table
 
-query("", None)(multi_source_dijkstra)
+    nodes = derived(spark, sf_dir, "nodes").select("ref", (F.col("lat_e7") * 1e-7).alias("lat"), (F.col("lon_e7") * 1e-7).alias("lon"))
+    points = _numbered(spark, sf_dir).select("e", F.col("u").alias("ref")).join(nodes, "ref").select("e", "lat", "lon")
+    sources = nodes.join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ref")).distinct(), "ref", "left_semi")
+    found = n.areas_of_walks(points, sources, (0.05, 0.1), (0.02, 0.03))
+    return found.groupBy("cell_y", "cell_x").agg(F.count(F.lit(1)).alias("edges"), F.sum("e").alias("numbers"))
 
 
 def _reached(spark, sf_dir, limit):

@@ -181,3 +181,24 @@ def peak_sort_key(spark, sf_dir):
     c = F.col
     key = -(F.lit(2) * 200_000 + (c("id") % 2) * 100_000 + F.least(F.floor("score"), F.lit(99_999)))
     return _peaks(spark, sf_dir).where("score > 0").select("id", key.cast("long").alias("sort_key"))
+
+
+@query(
+    "counties",
+    """WITH b AS (SELECT x0 / 4000 - 0.75 AS w, y0 / 4000 - 0.75 AS s, x1 / 4000 + 0.75 AS e, y1 / 4000 + 0.75 AS n FROM counties),
+    q AS (SELECT DISTINCT CAST(lat AS INT) AS lat, CAST(lon AS INT) AS lon FROM (SELECT lat, unnest(range(CAST(floor(w) AS INT), CAST(ceil(e) AS INT))) AS lon FROM (SELECT *, unnest(range(CAST(floor(s) AS INT), CAST(ceil(n) AS INT))) AS lat FROM b)))
+    SELECT lat, lon FROM q WHERE EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 14 - 1 = lat AND s_suppkey % 15 - 1 = lon)""",
+)
+def listed_squares(spark, sf_dir):
+    degrees = derived(spark, sf_dir, "counties").select(*((F.col(c) / 4000).alias(c) for c in ("x0", "y0", "x1", "y1")))
+    listed = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 14 - 1).cast("int").alias("lat"), (F.col("s_suppkey") % 15 - 1).cast("int").alias("lon"))
+    return p.listed_squares(degrees, listed, 0.75)
+
+
+@query(
+    "parks peaks",
+    f"""WITH k AS (SELECT a.id, b.id AS peak, b.e, b.n, row_number() OVER (PARTITION BY a.id ORDER BY sqrt({_D2}), b.id) AS o FROM parks a JOIN peaks b ON {_D2} <= 640000)
+    SELECT parks.id, peak AS b, coalesce(k.e, parks.e) AS x, coalesce(k.n, parks.n) AS y FROM parks LEFT JOIN k ON k.id = parks.id AND o = 1""",
+)
+def joined_ends(spark, sf_dir):
+    return p.joined_ends(_parks(spark, sf_dir), _peaks(spark, sf_dir), 800.0)
