@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -142,6 +144,86 @@ def located_ways(rows: DataFrame) -> DataFrame:
     return found.select("way_id", shaped.alias("nodes")).join(ways.select(F.col("id").alias("way_id"), "tags"), "way_id")
 
 
+def rings_of(ways: list[list[int]]) -> list[list[int]] | None:
+    """Closed rings of node numbers that ways make, laid end to end; None if an end meets no other."""
+    meet, left, rings = defaultdict(list), set(), []
+    for i, way in enumerate(ways):
+        if way[0] == way[-1]:
+            rings.append(list(way))
+        else:
+            left.add(i)
+            meet[way[0]].append(i)
+            meet[way[-1]].append(i)
+    while left:
+        ring = list(ways[min(left)])
+        left.discard(min(left))
+        while ring[0] != ring[-1]:
+            following = next((i for i in meet[ring[-1]] if i in left), None)
+            if following is None:
+                return None
+            left.discard(following)
+            way = ways[following]
+            ring += way[1:] if way[0] == ring[-1] else way[-2::-1]
+        rings.append(ring)
+    return rings
+
+
+def nested(rings: list[list[int]], place: dict[int, tuple[float, float]]) -> list[tuple[int, list[int]]]:
+    """(outer ring, its holes), by number: a ring inside an odd number of others is a hole of the one next outside it."""
+
+    def holds(outer: list[int], inner: list[int]) -> bool:
+        own = set(outer)
+        x, y = place[next((n for n in inner if n not in own), inner[0])]
+        p = np.array([place[n] for n in outer])
+        (x0, y0), (x1, y1) = p[:-1].T, p[1:].T
+        cross = (y0 > y) != (y1 > y)
+        return bool(np.count_nonzero(x < x0[cross] + (y - y0[cross]) / (y1 - y0)[cross] * (x1 - x0)[cross]) % 2)
+
+    around = [[j for j, outer in enumerate(rings) if j != i and holds(outer, ring)] for i, ring in enumerate(rings)]
+    return [(i, [j for j in range(len(rings)) if i in around[j] and len(around[j]) == len(around[i]) + 1]) for i in range(len(rings)) if len(around[i]) % 2 == 0]
+
+
+RING = "array<struct<x:double,y:double>>"
+
+
+def areas(rows: DataFrame) -> DataFrame:
+    """type, id, tags, part, ring, holes: a row for each outer ring of closed ways and multipolygons, in degrees.
+
+    A closed way of four points or more is an area if it has tags and no area=no. A relation of type multipolygon or
+    boundary is put together from its ways, which need no tags themselves; one that lacks a way, or the place of a
+    node, or whose ways do not close, is left out whole. Which rings are holes follows from where they lie, not from
+    their roles. Ways meet relations and nodes by equi-joins; one relation's ways are put together in one task.
+    """
+    tag = lambda k: F.coalesce(F.try_element_at("tags", F.lit(k)), F.lit(""))
+    place = lambda p: F.struct((p["lon_e7"] * 1e-7).alias("x"), (p["lat_e7"] * 1e-7).alias("y"))
+    relations = rows.where((F.col("type") == "relation") & tag("type").isin("multipolygon", "boundary"))
+    members = relations.select("id", F.expr("filter(members, m -> m.type = 'way')").alias("ways")).where(F.size("ways") > 0)
+    members = members.select("id", F.size("ways").alias("n"), F.posexplode("ways").alias("seq", "m")).select("id", "n", "seq", F.col("m.ref").alias("way_id"))
+    closed = rows.where((F.col("type") == "way") & (F.size("refs") >= 4) & (F.element_at("refs", 1) == F.element_at("refs", -1)) & (F.size("tags") > 0) & (tag("area") != "no"))
+    nodes = rows.where("type = 'node'")
+    own = located_ways(closed.unionByName(nodes)).select(F.lit("way").alias("type"), F.col("way_id").alias("id"), "tags", F.lit(0).alias("part"), F.transform("nodes", place).alias("ring"), F.array().cast(f"array<{RING}>").alias("holes"))
+    wanted = rows.where("type = 'way'").join(members.select(F.col("way_id").alias("id")).distinct(), "id", "left_semi")
+    ways = located_ways(wanted.unionByName(nodes.select(*wanted.columns))).select("way_id", "nodes")
+    parts = members.join(ways, "way_id").select("id", "n", "seq", F.transform("nodes", lambda p: F.struct(p["ref"].alias("ref"), (p["lon_e7"] * 1e-7).alias("x"), (p["lat_e7"] * 1e-7).alias("y"))).alias("nodes"))
+
+    def put_together(table: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"id": pd.Series(dtype="int64"), "part": pd.Series(dtype="int32"), "ring": pd.Series(dtype=object), "holes": pd.Series(dtype=object)})
+        if len(table) < table["n"].iloc[0]:
+            return out
+        table = table.sort_values("seq")
+        at = {p["ref"]: (p["x"], p["y"]) for line in table["nodes"] for p in line}
+        rings = rings_of([[p["ref"] for p in line] for line in table["nodes"]])
+        if not rings or any(len(r) < 4 for r in rings):
+            return out
+        drawn = [[{"x": at[r][0], "y": at[r][1]} for r in ring] for ring in rings]
+        found = nested(rings, at)
+        return pd.DataFrame({"id": [table["id"].iloc[0]] * len(found), "part": range(len(found)), "ring": [drawn[i] for i, _ in found], "holes": [[drawn[j] for j in holes] for _, holes in found]})
+
+    made = parts.groupBy("id").applyInPandas(put_together, f"id long, part int, ring {RING}, holes array<{RING}>")
+    made = made.join(relations.select("id", "tags"), "id").select(F.lit("relation").alias("type"), "id", "tags", "part", "ring", "holes")
+    return own.unionByName(made)
+
+
 def hiking_routes(rows: DataFrame) -> DataFrame:
     """way_id, route_id, network, name, ref: ways of walking routes; a route without a network is a local one."""
     t = lambda k: F.try_element_at("tags", F.lit(k))

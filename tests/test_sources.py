@@ -58,6 +58,23 @@ def test_osm_extract(spark, tmp_path):
     assert sorted(r.id for r in some.collect()) == [11, 12, 13, 100, 101, 102]
     
 
+def test_areas(spark):
+    place = {1: (0, 0), 2: (10, 0), 3: (10, 10), 4: (0, 10), 5: (2, 2), 6: (4, 2), 7: (4, 4), 8: (3, 3), 9: (3.5, 3), 10: (3.5, 3.5), 11: (20, 0), 12: (30, 0), 13: (30, 5)}
+    nodes = [("node", i, y * 10**7, x * 10**7, {}, None, None) for i, (x, y) in ((i, (int(x * 2) / 2, int(y * 2) / 2)) for i, (x, y) in place.items())]
+    nodes = [(t, i, int(y), int(x), g, r, m) for t, i, y, x, g, r, m in nodes]
+    way = lambda i, refs, **tags: ("way", i, None, None, tags, refs, None)
+    ways = [way(1, [1, 2, 3]), way(2, [1, 4, 3]), way(3, [5, 6, 7, 5], landuse="grass"), way(4, [8, 9, 10, 8]), way(5, [11, 12, 13, 11], area="no"), way(6, [11, 12]), way(7, [12, 13, 99])]
+    rel = lambda i, refs, **tags: ("relation", i, None, None, tags, None, [("way", r, "outer") for r in refs])
+    rels = [rel(50, [1, 2, 3, 4, 5], type="multipolygon", natural="water"), rel(51, [6], type="multipolygon"), rel(52, [1, 2, 7], type="boundary"), rel(53, [1, 2], type="route"), rel(54, [1, 2, 98], type="boundary")]
+    got = {(r.type, r.id, r.part): r for r in osm.areas(spark.createDataFrame(nodes + ways + rels, osm.SCHEMA)).collect()}
+    assert {k[:2] for k in got} == {("way", 3), ("relation", 50)}
+    ring = lambda points: {(round(p.x, 6), round(p.y, 6)) for p in points}
+    found = sorted((sorted(ring(r.ring)), sorted(map(sorted, map(ring, r.holes)))) for k, r in got.items() if k[0] == "relation")
+    square, hole, island, far = ([place[i] for i in x] for x in ((1, 2, 3, 4), (5, 6, 7), (8, 9, 10), (11, 12, 13)))
+    assert found == sorted([(sorted(square), [sorted(hole)]), (sorted(island), []), (sorted(far), [])])
+    assert got["way", 3, 0].tags == {"landuse": "grass"} and got["relation", 50, 0].tags["natural"] == "water"
+
+
 def test_outlines(spark, tmp_path):
     ring = [[0, 0], [0, 4], [4, 4], [4, 0], [0, 0]]
     hole = [[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]
