@@ -7,6 +7,7 @@ with the same look-up of substring hashes and the same vectorised maxima; ids ar
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.wire import Message
 from .common import BYTE_VALUES, U64, chunks, mix, powers, table, word_hashes
 
 #: The vocabulary file; a parameter of every function that needs one.
@@ -31,33 +33,6 @@ LONG = 192
 _MARK = "▁"
 
 
-def _varint(data: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = data[at]
-        at += 1
-        value |= (byte & 127) << shift
-        shift += 7
-        if byte < 128:
-            return value, at
-
-
-def _fields(data: bytes) -> Iterator[tuple[int, object]]:
-    """(number, value) of a protocol buffer message."""
-    at = 0
-    while at < len(data):
-        tag, at = _varint(data, at)
-        if tag & 7 == 0:
-            value, at = _varint(data, at)
-        elif tag & 7 == 2:
-            size, at = _varint(data, at)
-            value, at = data[at : at + size], at + size
-        else:
-            size = 4 if tag & 7 == 5 else 8
-            value, at = data[at : at + size], at + size
-        yield tag >> 3, value
-
-
 def _polynomials(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Polynomial hashes of spans, which differences of prefix sums give too."""
     first = np.cumsum(lengths) - lengths
@@ -103,18 +78,19 @@ class Pieces:
     @classmethod
     def load(cls, path: str = MODEL_FILE) -> Pieces:
         with open(path, "rb") as f:
-            data = f.read()
-        texts, kinds, scores, prefix, merges = [], [], [], True, False
-        for number, value in _fields(data):
-            if number == 1:
-                piece = dict(_fields(value))
-                texts.append(piece.get(1, b"").decode())
-                scores.append(float(np.frombuffer(piece[2], np.float32)[0]) if 2 in piece else 0.0)
-                kinds.append(piece.get(3, 1))
-            elif number == 2:
-                merges = dict(_fields(value)).get(3, 1) == 2
-            elif number == 3:
-                prefix = bool(dict(_fields(value)).get(3, 1))
+            return cls.parse(f.read())
+
+    @classmethod
+    def parse(cls, data: bytes) -> Pieces:
+        """From the bytes of a vocabulary file. Fields 1, 2 and 3 of a file are its pieces, the trainer's
+        settings and the normaliser's; 1, 2 and 3 of a piece its text, score and kind."""
+        whole = Message(data)
+        own = [Message(piece) for piece in whole.all(1)]
+        texts = [bytes(p.last(1, b"")).decode() for p in own]
+        scores = [float(np.frombuffer(p.last(2), np.float32)[0]) if p.all(2) else 0.0 for p in own]
+        kinds = [p.last(3, 1) for p in own]
+        merges = any(Message(x).last(3, 1) == 2 for x in whole.all(2))
+        prefix = all(Message(x).last(3, 1) for x in whole.all(3))
         kinds = np.array(kinds)
         byte_ids = np.full(256, -1, np.int32)
         for i in np.flatnonzero(kinds == 6):
@@ -438,20 +414,32 @@ def encoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     Texts are not normalised, and the word mark itself, where a text holds it, is encoded by its bytes, so decoding
     returns every text as it was. Other columns and repeated rows pass unchanged.
     """
-    return _with_column(docs, "text", "ids", T.ArrayType(T.IntegerType()), lambda: Encoder(Pieces.load(model_file)), _encode_batch)
+    return _with_column(docs, "text", "ids", T.ArrayType(T.IntegerType()), lambda data: Encoder(_parsed(data)), _encode_batch, model_file)
 
 
 def decoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """documents with ``text`` in place of the column ``ids``; the inverse of ``encoded``."""
-    return _with_column(docs, "ids", "text", T.StringType(), lambda: Pieces.load(model_file), _decode_batch)
+    return _with_column(docs, "ids", "text", T.StringType(), _parsed, _decode_batch, model_file)
+
 
+def _shipped(docs: DataFrame, model_file: str):
+    """The vocabulary file's bytes (some hundred kB), read where the driver is and sent to every worker."""
+    with open(model_file, "rb") as f:
+        return docs.sparkSession.sparkContext.broadcast(f.read())
 
-def _with_column(docs: DataFrame, old: str, new: str, kind: T.DataType, make, apply) -> DataFrame:
+
+@functools.lru_cache(maxsize=2)
+def _parsed(data: bytes) -> Pieces:
+    return Pieces.parse(data)
+
+
+def _with_column(docs: DataFrame, old: str, new: str, kind: T.DataType, make, apply, model_file: str) -> DataFrame:
+    shipped = _shipped(docs, model_file)
     rest = [c for c in docs.columns if c not in (old, new)]
     schema = docs.select(*rest).schema.add(new, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = make()
+        state = make(shipped.value)
         for batch in batches:
             for lo, hi, made in apply(state, batch, old):
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in rest), made], names=[*rest, new])
@@ -484,8 +472,10 @@ def recoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("text", "ids")]
     schema = docs.select(*rest).schema.add("text", "string").add("ids", T.ArrayType(T.IntegerType()))
 
+    shipped = _shipped(docs, model_file)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = Encoder(Pieces.load(model_file))
+        state = Encoder(_parsed(shipped.value))
         for batch in batches:
             for lo, hi, data, offs in chunks(batch, "text", 1 << 20):
                 ids, counts, back, ends = recoded_texts(state, data, offs)
@@ -505,9 +495,10 @@ def encoded_and_decoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFr
     doc_ids too; a table without rows gives none. Other columns are ignored, whatever their names.
     """
     schema = "doc_id long, n_bytes long, n_tokens long, ids array<int>, round_trip boolean"
+    shipped = _shipped(docs, model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = Encoder(Pieces.load(model_file))
+        state = Encoder(_parsed(shipped.value))
         for batch in batches:
             for lo, hi, data, offs in chunks(batch, "text"):
                 ids, counts, back, ends = recoded_texts(state, data, offs)

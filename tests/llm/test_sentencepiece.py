@@ -8,23 +8,28 @@ import sentencepiece
 from cartoloom.llm import sentencepiece as sp
 
 
+def number(data, at):
+    end = next(i for i in range(at, len(data)) if data[i] < 128)
+    return sum((b & 127) << 7 * i for i, b in enumerate(data[at : end + 1])), end + 1
+
+
 def as_unigram(path):
     """The model file with its kind changed to unigram, nothing else."""
     data, out, at = open(path, "rb").read(), bytearray(), 0
     while at < len(data):
         begin = at
-        tag, at = sp._varint(data, at)
-        size, body = sp._varint(data, at)
+        tag, at = number(data, at)
+        size, body = number(data, at)
         at = body + size
         if tag >> 3 == 2:  # the trainer's settings: the kind is field 3
             own, i = bytearray(), body
             while i < at:
                 j = i
-                t, i = sp._varint(data, i)
+                t, i = number(data, i)
                 if t & 7 == 0:
-                    _, i = sp._varint(data, i)
+                    _, i = number(data, i)
                 elif t & 7 == 2:
-                    n, i = sp._varint(data, i)
+                    n, i = number(data, i)
                     i += n
                 else:
                     i += 4 if t & 7 == 5 else 8
