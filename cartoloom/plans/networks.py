@@ -174,13 +174,33 @@ def edge_parks(spark, sf_dir):
       AND cell_x >= ceil((lon - 0.03) / 0.1 - 1) AND cell_x <= floor((lon + 0.03) / 0.1) GROUP BY cell_y, cell_x""",
 )
 def walk_areas(spark, sf_dir):
+    found = _walk_areas(spark, sf_dir, _numbered(spark, sf_dir))[0]
+    return found.groupBy("cell_y", "cell_x").agg(F.count(F.lit(1)).alias("edges"), F.sum("e").alias("numbers"))
+
+
+_CELL, _PAD = (0.05, 0.1), (0.02, 0.03)
+
+
+def _walk_areas(spark, sf_dir, edge):
+    """(cell_y, cell_x, e) round the car parks, and the car parks (source, cell_y, cell_x)."""
     from .base import table
 
     nodes = derived(spark, sf_dir, "nodes").select("ref", (F.col("lat_e7") * 1e-7).alias("lat"), (F.col("lon_e7") * 1e-7).alias("lon"))
-    points = _numbered(spark, sf_dir).select("e", F.col("u").alias("ref")).join(nodes, "ref").select("e", "lat", "lon")
+    points = edge.select("e", F.col("u").alias("ref")).join(nodes, "ref").select("e", "lat", "lon")
     sources = nodes.join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ref")).distinct(), "ref", "left_semi")
-    found = n.areas_of_walks(points, sources, (0.05, 0.1), (0.02, 0.03))
-    return found.groupBy("cell_y", "cell_x").agg(F.count(F.lit(1)).alias("edges"), F.sum("e").alias("numbers"))
+    at = sources.select(F.col("ref").alias("source"), F.floor(F.col("lat") / _CELL[0]).cast("int").alias("cell_y"), F.floor(F.col("lon") / _CELL[1]).cast("int").alias("cell_x"))
+    return n.areas_of_walks(points, sources, _CELL, _PAD), at
+
+
+def park_walks(spark, sf_dir):
+    """Round walks from each car park on the ways of its padded cell: groups of bounded extent, one for a car park."""
+    edge = n.saved(_numbered(spark, sf_dir).select("e", "u", "v", "length"))
+    found, at = _walk_areas(spark, sf_dir, edge)
+    rows = found.join(at, ["cell_y", "cell_x"]).join(edge, "e").select(F.col("source").alias("area"), "source", "e", "u", "v", "length")
+    return n.round_walks(rows, "area", limit=30_000.0, longest=60_000.0)
+
+
+query("", None)(park_walks)
 
 
 def _reached(spark, sf_dir, limit):

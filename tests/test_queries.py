@@ -43,6 +43,7 @@ def test_same_rows_as_sql(spark, duck, name):
 #: their rows should be is tested against plain searches and known values in test_kernels and test_whole_network.
 WITHOUT_SQL = {
     "strong_components": ("node", lambda r: r.root <= r.node),
+    "park_walks": (None, lambda r: 0 < r.metres <= 60_000 and 2 * r.shared <= 0.4 * r.metres),
     "round_walks": ("e", lambda r: 0 < r.metres <= 1_000_000),
     "best_walks": ("e", lambda r: 0 < r.walk <= 1_000_000),
     "contours": (None, lambda r: all(v is not None and math.isfinite(v) for v in r if isinstance(v, float))),
