@@ -228,7 +228,10 @@ def scored(docs: DataFrame, staging: Staging) -> DataFrame:
 
     Counts stay in parts by key, in the shared folder; blocks of documents ask for the keys they hold. No table of
     the vocabulary goes to the driver or to all tasks: only the totals, LOW + 3 numbers a level, do. Null or empty
-    texts are one end; with nothing to learn from, scores are 0. Repeated doc_ids must have been dropped.
+    texts are one end, texts of any length are taken whole; with nothing to learn from, scores are 0. Repeated doc_ids
+    must have been dropped; other columns are ignored, whatever their names. Tokens are known by 64-bit hashes and pairs
+    by 56 bits of one within their part of PART_BYTES of text: two pairs of a part of a million are expected to be
+    counted as one in fewer than one part of 100,000.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(16, -(-size // PART_BYTES))
