@@ -1,6 +1,8 @@
 """The training-data pipeline: documents through five stages, each written and read again before the next.
 
-Each stage is judged on its own input and returns the columns of documents; the last adds the piece ids.
+Each stage is judged on its own input and returns the columns of documents; the last adds the piece ids. Stages take
+texts whole, however long, nulls in any column, tables without rows and columns of any name besides doc_id and text (lang
+too for the first); only a column ``ids`` is replaced by the last. Rows that repeat a doc_id are one document.
 """
 
 from __future__ import annotations
