@@ -67,7 +67,7 @@ def _extended(docs: DataFrame, found: DataFrame, sizes: list[int]) -> DataFrame:
     """doc_id, pos, size, win: the windows that the grams found (doc_id, run, k, pos) lie in, spelled out.
 
     A gram of a long item is the least of its window, and so within WINDOW places of the window's start; a gram of a
-    short item is its first.
+    short item is its first. Windows of short items that lie where two runs overlap come twice, which counts as once.
     """
     spots = found.groupBy("doc_id", "run").agg(F.collect_set(F.struct("k", "pos")).alias("at")).groupBy("doc_id").agg(F.collect_list(F.struct("run", "at")).alias("runs"))
     texts = docs.join(spots, "doc_id").select("doc_id", "runs", _words(F.translate("text", _UPPER, _LOWER)).alias("all"))
@@ -76,7 +76,7 @@ def _extended(docs: DataFrame, found: DataFrame, sizes: list[int]) -> DataFrame:
     starts = None
     for size in sizes:
         k, reach = (SPAN, WINDOW - 1) if size == SPAN else (min(size, GRAM), 0)
-        spread = F.transform(F.filter("at", lambda x: x["k"] == k), lambda x: F.filter(F.sequence(x["pos"] - reach, x["pos"]), lambda p: (p >= 0) & (p + size <= F.size("w")) & (p < RUN)))
+        spread = F.transform(F.filter("at", lambda x: x["k"] == k), lambda x: F.filter(F.sequence(x["pos"] - reach, x["pos"]), lambda p: (p >= 0) & (p + size <= F.size("w"))))
         own = F.transform(F.array_distinct(F.flatten(spread)), lambda p: F.struct(p.alias("p"), F.lit(size).alias("size")))
         starts = own if starts is None else F.concat(starts, own)
     each = rows.select("doc_id", "run", "w", F.explode_outer(starts).alias("s")).where("s IS NOT NULL")

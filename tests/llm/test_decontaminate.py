@@ -71,6 +71,9 @@ def test_passages_across_the_ends_of_runs(spark):
             own = text.split()
             texts[10 * i + item] = " ".join([*some(at), *own, *some((i * 700) % 2100)])
     texts[99] = " ".join(some(d.RUN + 12))
+    for i, n in enumerate((0, 3, 7, 11)):  # short items in the words that end the only run
+        texts[200 + i] = " ".join([*some(d.RUN + 12 - 6 - n), *items[2][1].split(), *some(n)])
+        texts[210 + i] = " ".join([*some(d.RUN + n), *items[3][1].split()])
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert rows(d.contamination(docs, bench, Staging(spark, "t"))) == brute(texts, items)
