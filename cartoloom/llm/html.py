@@ -37,7 +37,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 #: A node of a host's template that so many pages share with the same text is part of the template, if at least
 #: that many pages have been aligned.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 5
-#: Models of all hosts of no more bytes than this are sent to every task.
+#: Tables of hosts of no more bytes than this are sent to every task.
 SENT_BYTES = 32 << 20
 #: Rows of a table of common subsequences that are worked out again at once when its way is traced back.
 ROWS = 512
@@ -382,7 +382,8 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
     aligned with it by simple tree matching, and what all of them say of each node (aligned, same text, length of
     text) is summed before the shuffle: nodes with the same text on nearly all pages are template, and the lowest subtree
     with all of the varying text is the slot of the content (articles side by side are one slot). A second pass aligns
-    each page again and takes the slot's blocks, without the template's and without elements that by name, class or role are no part of an article.
+    each page again and takes the slot's blocks, without the template's and without elements that by name, class or
+    role are no part of an article.
 
     Pages of any depth and with any number of siblings are aligned whole. Outside of article and main elements the
     words of OTHER in names, and header elements, mark what is no part of the article; inside, only whole classes do.
@@ -396,10 +397,9 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
         rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     rows = rows.withColumn("host", host_of("url"))
     first = rows.where("length(html) > 0 AND host <> ''").groupBy("host").agg(F.min("page_id").alias("page_id"))
-    models = staging.save(rows.select("page_id", F.col("html").alias("model")).join(first, "page_id").select("host", "model"), "models")
-    bytes_of = models.agg(F.sum(F.octet_length("host") + F.octet_length("model"))).first()[0] or 0
-    # few hosts: their models go to all tasks, and no page is moved; else an equi-join, whose large hosts Spark splits
-    sent = F.broadcast if bytes_of <= SENT_BYTES else lambda t: t
+    first = staging.save(first, "first")
+    models = staging.save(rows.select("page_id", F.col("html").alias("model")).join(_sent(first, F.octet_length("host") + 8), "page_id").select("host", "model"), "models")
+    own = F.octet_length("host") + F.octet_length("model")
 
     def say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: dict[str, Node] = {}
@@ -416,7 +416,7 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
                 [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.int32()), *(pa.array([v[i] for v in total.values()], pa.int64()) for i in range(3))], names=["host", "number", "pages", "same", "chars"]
             )
 
-    seen = rows.where("length(html) > 0").join(sent(models), "host").select("host", "model", "html").mapInArrow(say, "host string, number int, pages long, same long, chars long")
+    seen = rows.where("length(html) > 0").join(_sent(models, own), "host").select("host", "model", "html").mapInArrow(say, "host string, number int, pages long, same long, chars long")
     seen = seen.groupBy("host", "number").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars")))
     seen = seen.groupBy("host").agg(F.collect_list(F.struct("number", "pages", "same", "chars")).alias("seen"))
     wrappers = staging.save(models.join(seen, "host"), "wrappers")
@@ -437,10 +437,16 @@ def main_text(pages: DataFrame, staging: Staging) -> DataFrame:
                 texts.append(extract(source, tree, *known[host]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    out = rows.join(sent(wrappers), "host", "left").select("page_id", "url", "host", "model", "seen", "html").mapInArrow(take, "page_id long, url string, text string")
+    out = rows.join(_sent(wrappers, own + 28 * F.size("seen")), "host", "left").select("page_id", "url", "host", "model", "seen", "html").mapInArrow(take, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def _sent(table: DataFrame, size: Column) -> DataFrame:
+    """The table, to be sent to all tasks if its rows have SENT_BYTES at most, so that the pages it meets stay where they
+    are; else it meets them by an equi-join, whose large hosts Spark splits."""
+    return F.broadcast(table) if (table.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES else table
+
+
 def _tree(trees: dict[str, Node], host: str, source: str) -> Node:
     if host not in trees:
         if len(trees) > 256:
