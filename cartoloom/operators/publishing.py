@@ -77,3 +77,21 @@ def source_revision(files: DataFrame) -> DataFrame:
     """revision: seven digits of the hash of all sources (name, content), by name."""
     own = files.select("name", F.sha2("content", 256).alias("h"))
     return own.agg(F.substring(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "h"))), lambda s: s["h"]), ""), 256), 1, 7).alias("revision"))
+
+
+# Credits that the sources of heights ask for, and GB of disk that a build needs with and without a first one.
+OS_CREDIT = "contains OS data © Crown copyright and database right"
+DEM_CREDIT = "heights from the Copernicus DEM, © DLR e.V. 2010-2014 and © Airbus Defence and Space GmbH 2014-2018 provided under COPERNICUS by the European Union and ESA"
+FIRST_BUILD_GB, LATER_BUILD_GB = 100, 40
+
+
+def credit(heights: Column, sentence: bool = False) -> Column:
+    """The credit of an area by where its heights are from; as a sentence it begins with a capital letter."""
+    text = F.when(heights == "gb", F.lit(OS_CREDIT)).otherwise(F.lit(DEM_CREDIT))
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 1000)) if sentence else text
+
+
+def room(areas: DataFrame, free_gb: float) -> DataFrame:
+    """need, enough: GB that building areas (built) takes, more while one has not been built, and whether they are free."""
+    first = F.coalesce(F.bool_or(~F.coalesce("built", F.lit(False))), F.lit(False))
+    return areas.agg(F.when(first, FIRST_BUILD_GB).otherwise(LATER_BUILD_GB).alias("need")).select("need", (F.lit(float(free_gb)) >= F.col("need")).alias("enough"))

@@ -71,3 +71,14 @@ def tile_names(spark, sf_dir):
 @query("nodes", "SELECT ref % 10 AS area, CAST(min(lat_e7) AS BIGINT) AS south, CAST(max(lat_e7) AS BIGINT) AS north, CAST(min(lon_e7) AS BIGINT) AS west, CAST(max(lon_e7) AS BIGINT) AS east FROM nodes GROUP BY 1")
 def area_bounds(spark, sf_dir):
     return derived(spark, sf_dir, "nodes").groupBy((F.col("ref") % 10).alias("area")).agg(*(f(c).cast("long").alias(n) for f, c, n in ((F.min, "lat_e7", "south"), (F.max, "lat_e7", "north"), (F.min, "lon_e7", "west"), (F.max, "lon_e7", "east"))))
+
+
+@query("", "SELECT s_suppkey AS area, CASE WHEN s_nationkey % 2 = 0 THEN 'Contains OS data © Crown copyright and database right' ELSE 'Heights from the Copernicus DEM, © DLR e.V. 2010-2014 and © Airbus Defence and Space GmbH 2014-2018 provided under COPERNICUS by the European Union and ESA' END AS credit FROM supplier")
+def credits(spark, sf_dir):
+    heights = F.when(F.col("s_nationkey") % 2 == 0, "gb").otherwise("dem")
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("area"), p.credit(heights, sentence=True).alias("credit"))
+
+
+@query("", "SELECT CAST(CASE WHEN bool_or(s_acctbal < 0) THEN 100 ELSE 40 END AS INT) AS need, 64.0 >= CASE WHEN bool_or(s_acctbal < 0) THEN 100 ELSE 40 END AS enough FROM supplier")
+def room_needed(spark, sf_dir):
+    return p.room(table(spark, sf_dir, "supplier").select((F.col("s_acctbal") >= 0).alias("built")), 64.0)

@@ -8,6 +8,7 @@ Writers of one file (SQLite, a region's graph) take rows through ``toLocalIterat
 from __future__ import annotations
 
 import io
+import json
 import os
 import re
 import sqlite3
@@ -102,6 +103,37 @@ class NpyReader(DataSourceReader):
         yield pa.RecordBatch.from_arrays([pa.array((r + part.low).astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(block[r, c])], names=["r", "c", "v"])
 
 
+# The grid that arrays without a layout beside them are on: metres across, and how 16-bit ones keep heights.
+PLAIN_CRS, PLAIN_WIDTH, PLAIN_SOURCE = "EPSG:27700", 700_000, "OS Terrain 50"
+LAYOUT = ("crs", "x0", "y0", "cell", "scale", "sea", "source", "smooth")
+
+
+def layout_path(path: str) -> str:
+    return f"{path.removesuffix('.npy')}.grid.json"
+
+
+def layout_of(path: str) -> dict:
+    """The grid that an .npy file is on: rows, columns and LAYOUT, from the file beside it, or else the plain grid's."""
+    array = np.load(path, mmap_mode="r")
+    found = {"rows": array.shape[0], "columns": array.shape[1], "scale": 1.0, "sea": 0.0, "source": "", "smooth": 0.0}
+    beside = layout_path(path)
+    if os.path.exists(beside):
+        with open(beside) as f:
+            return found | json.load(f)
+    packed = array.dtype == np.int16
+    return found | {"crs": PLAIN_CRS, "x0": 0, "y0": 0, "cell": PLAIN_WIDTH / array.shape[1], "scale": 0.1 if packed else 1.0, "sea": -25 if packed else -2.5, "source": PLAIN_SOURCE}
+
+
+def write_layout(path: str, layout: dict) -> None:
+    """Writes a grid's layout beside its .npy file."""
+
+    def write(part: str) -> None:
+        with open(part, "w") as f:
+            json.dump({k: layout[k] for k in LAYOUT}, f)
+
+    _published(layout_path(path), write)
+
+
 def register(spark: SparkSession) -> None:
     for source in (MbtilesSource, NpySource):
         spark.dataSource.register(source)

@@ -16,7 +16,7 @@ from cartoloom.functions import geo, numbers, shapes
 from cartoloom.functions import tags as t
 from cartoloom.functions import vector_tiles as vt
 from cartoloom.functions import wire
-from cartoloom.operators import networks, places, rasters, sequences, tiles
+from cartoloom.operators import networks, places, rasters, regions, sequences, tiles
 from pyspark.sql import functions as F
 
 lines = st.lists(st.tuples(st.integers(-50, 50), st.integers(-50, 50)), min_size=2, max_size=30).map(lambda p: np.array(p, float))
@@ -260,3 +260,22 @@ def test_grid_extent_and_metadata(spark):
     meta = lambda n: spark.createDataFrame([("bounds", n), ("json", '{"vector_layers": [{"id": "%s"}]}' % n)], "name string, value string")
     out = {r.name: r.value for r in tiles.merged_metadata(meta("a"), meta("b"), {"format": "pbf"}).collect()}
     assert out == {"bounds": "a", "format": "pbf", "json": '{"vector_layers":[{"id":"a"},{"id":"b"}]}'}
+
+
+def test_regions_of_points(spark):
+    box = lambda x0, y0, x1, y1: [{"x": x, "y": y} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+    shapes = {"alps": [box(0, 0, 10, 10)], "slovenia": [box(10, 0, 12, 2)], "france": [box(-5, 0, 3, 8), box(-4, 1, -3, 2)], "monaco": [box(3, 0, 4, 1)], "italy": [box(3, -5, 9, 5)], "austria": [box(5, 5, 20, 9)]}
+    features = spark.createDataFrame(list(shapes.items()), "id string, rings array<array<struct<x:double,y:double>>>".replace("struct<x:double,y:double>", "struct<x:int,y:int>"))
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, -3.5, 1.5), (3, -1.0, 1.0), (4, 3.5, 0.5), (5, 11.0, 1.0), (6, 15.0, 7.0), (7, 4.0, -2.0), (8, 99.0, 99.0)], "id long, x double, y double")
+    got = {(r.id, r.region) for r in regions.regions_of(points, regions.defined(spark, ["alps", "slovenia", "italy"]), features).collect()}
+    assert got == {(1, "alps"), (1, "alps-france"), (4, "alps"), (4, "alps-france"), (4, "alps-italy"), (4, "italy"), (5, "alps"), (5, "slovenia"), (7, "italy")}
+    assert regions.defined(spark).where("download").count() == 16
+
+
+def test_layouts(tmp_path):
+    np.save(f"{tmp_path}/a.npy", np.zeros((20, 14), np.int16))
+    found = sources.files.layout_of(f"{tmp_path}/a.npy")
+    assert found["cell"] == 50_000 and found["scale"] == 0.1 and found["sea"] == -25 and (found["rows"], found["columns"]) == (20, 14)
+    sources.files.write_layout(f"{tmp_path}/a.npy", found | {"crs": "EPSG:4326", "smooth": 2.0})
+    again = sources.files.layout_of(f"{tmp_path}/a.npy")
+    assert again == found | {"crs": "EPSG:4326", "smooth": 2.0}
