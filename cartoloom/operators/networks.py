@@ -74,7 +74,7 @@ def adjacency(edge: DataFrame) -> DataFrame:
     return _running(lists, "node", "size", "start").drop("size")
 
 
-def _running(rows: DataFrame, order: str, size: str, name: str, width: int = 4096) -> DataFrame:
+def _running(rows: DataFrame, order: str, size: str, name: str, width: int = 1 << 16) -> DataFrame:
     """rows with the sum of ``size`` over all rows before, by ``order`` (whole numbers), in two levels."""
     rows = rows.withColumn("_range", F.floor(F.col(order) / width))
     totals = rows.groupBy("_range").agg(F.sum(size).alias("_sum"))

@@ -233,13 +233,23 @@ def painted(polygons: DataFrame) -> DataFrame:
 
     Polygons are painted in the order of ``place``; the last that reaches a cell decides. A hole does not show what
     lies under it: its cells are cleared.
+
+    Rows are filled between the places where edges cross them, so only edges and cells are moved, never a whole ring.
     """
-    box = lambda ring, k: (F.floor(F.array_min(F.transform(ring, lambda p: p[k]))).cast("int"), F.floor(F.array_max(F.transform(ring, lambda p: p[k]))).cast("int"))
-    (x0, x1), (y0, y1) = box(F.col("rings")[0], "x"), box(F.col("rings")[0], "y")
-    rows = polygons.withColumn("r", F.explode(F.sequence(y0, y1))).withColumn("c", F.explode(F.sequence(x0, x1)))
-    at = lambda ring: geo.in_ring(F.col("c") + 0.5, F.col("r") + 0.5, ring)
-    rows = rows.where(at(F.col("rings")[0])).withColumn("v", F.when(F.exists(F.slice("rings", 2, F.greatest(F.size("rings") - 1, F.lit(0))), at), F.lit(0)).otherwise(F.col("value")))
-    top = rows.groupBy("r", "c").agg(F.max(F.struct("place", "v")).alias("top"))
+    ring = F.col("ring")
+    edges = F.transform(F.sequence(F.lit(2), F.size(ring)), lambda i: F.struct(F.element_at(ring, i - 1).alias("a"), F.element_at(ring, i).alias("b")))
+    sides = polygons.select("place", "value", F.posexplode("rings").alias("hole", "ring")).where(F.size("ring") > 1).select("place", "value", "hole", F.explode(edges).alias("s"))
+    ax, ay, bx, by = (F.col(f"s.{p}.{c}") for p in "ab" for c in "xy")
+    low, high = (F.ceil(f(ay, by) - 0.5).cast("int") for f in (F.least, F.greatest))
+    met = sides.where(low < high).withColumn("r", F.explode(F.sequence(low, high - 1)))
+    met = met.select("place", "value", "hole", "r", ((bx - ax) * (F.col("r") + 0.5 - ay) / F.nullif(by - ay, F.lit(0.0)) + ax).alias("x"))
+    rows = met.groupBy("place", "value", "hole", "r").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    ends = lambda k: F.ceil(F.get("xs", k) - 0.5).cast("int")
+    spans = F.transform(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2)), lambda k: F.struct(ends(k).alias("a"), ends(k + 1).alias("b")))
+    rows = rows.where(F.size("xs") > 1).select("place", "value", "hole", "r", F.explode(spans).alias("s")).where("s.a < s.b")
+    cells = rows.select("place", "value", "hole", "r", F.explode(F.sequence(F.col("s.a"), F.col("s.b") - 1)).alias("c"))
+    inside = cells.groupBy("r", "c", "place", "value").agg(F.min("hole").alias("first"), F.max("hole").alias("last")).where("first = 0")
+    top = inside.groupBy("r", "c").agg(F.max(F.struct("place", F.when(F.col("last") > 0, F.lit(0)).otherwise(F.col("value")).alias("v"))).alias("top"))
     return top.select("r", "c", F.col("top.v").alias("v")).where("v <> 0")
 
 
