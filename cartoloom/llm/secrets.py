@@ -128,7 +128,11 @@ def dictionary(docs: DataFrame) -> DataFrame:
     """word: words of small letters that occur COMMON times or more in all texts, and those of the labelled findings."""
     words = docs.select(F.explode(F.filter(F.split(F.coalesce("text", F.lit("")), r"[^A-Za-z]+"), lambda w: w.rlike("^[A-Z]?[a-z]{%d,23}$" % (WORD - 1)))).alias("word"))
     common = words.select(F.lower("word").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COMMON).select("word")
-    return common.unionByName(docs.sparkSession.createDataFrame([(w,) for w in WORDS], "word string")).distinct()
+    return common.unionByName(_own_words(docs.sparkSession)).distinct()
+
+
+def _own_words(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, WORDS))).alias("word"))
 
 
 def _features(knows: Knowledge) -> dict[str, Column]:
@@ -251,11 +255,10 @@ def forest(spark: SparkSession) -> Forest:
     """
     if not _fitted():
         rows = spark.createDataFrame([(i, t, p, y) for i, (t, p, y) in enumerate(labelled())], "doc_id long, text string, path string, y double").coalesce(1)
-        words = spark.createDataFrame([(w,) for w in WORDS], "word string").coalesce(1)
-        found = covered(candidates(rows), words).join(rows.select("doc_id", "y"), "doc_id").coalesce(1).sortWithinPartitions("doc_id", "start").toArrow()
-        knows = Knowledge.of([(r["value"], r["left"], r["right"], r["y"]) for r in found.to_pylist()])
+        found = covered(candidates(rows), _own_words(spark)).join(rows.select("doc_id", "y"), "doc_id").coalesce(1).sortWithinPartitions("doc_id", "start")
+        knows = Knowledge.of([(r["value"], r["left"], r["right"], r["y"]) for r in found.collect()])
         names = _features(knows)
-        data = spark.createDataFrame(found).coalesce(1).select("y", *(c.cast("double").alias(k) for k, c in names.items()))
+        data = found.select("y", *(c.cast("double").alias(k) for k, c in names.items()))
         data = VectorAssembler(inputCols=list(names), outputCol="features").transform(data).select("y", "features")
         model = RandomForestClassifier(labelCol="y", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird").fit(data)
         _fitted().append(Forest(knows, tuple(_node(t._java_obj.rootNode()) for t in model.trees)))
