@@ -28,20 +28,26 @@ def cut(tiles: DataFrame, want: DataFrame) -> DataFrame:
 
 
 def stored(tiles: DataFrame, width: int = 64) -> tuple[DataFrame, DataFrame]:
-    """(z, x, y, data_id) and (data_id, data): each content once, numbered in the order of its first place.
+    """(z, x, y, data_id, place_id) and (data_id, data): each content once, numbered in the order of its first place.
 
+    Contents that stand first at one place, which only a table with several tiles at a place has, are numbered in the
+    order of their hashes; place_id numbers first places, and is the same for them. A null is a content too.
     Contents meet by hash. Only hashes and places are numbered, within columns of ``width`` tiles of a zoom, and the
     counts of columns give the numbers their base; each content then comes from the tile at its first place.
     """
-    hashed = tiles.select(*KEY, F.sha1(F.col("data").cast("binary")).alias("hash"))
+    digest = F.coalesce(F.sha1(F.col("data").cast("binary")), F.lit(""))
+    hashed = tiles.select(*KEY, digest.alias("hash"))
     column = [F.col("at.z").alias("zoom"), F.floor(F.col("at.x") / width).alias("column")]
     first = hashed.groupBy("hash").agg(F.min(F.struct(*KEY)).alias("at")).select("hash", "at", *column)
-    counts = first.groupBy("zoom", "column").agg(F.count(F.lit(1)).alias("c"))
-    base = counts.select("zoom", "column", (F.sum("c").over(Window.orderBy("zoom", "column")) - F.col("c")).alias("base"))
-    own = F.row_number().over(Window.partitionBy("zoom", "column").orderBy("at"))
-    numbered = first.withColumn("own", own).join(base, ["zoom", "column"]).select("hash", "at.*", (F.col("base") + F.col("own")).alias("data_id"))
-    contents = tiles.select(*KEY, "data").join(numbered.select(*KEY, "hash", "data_id"), KEY).where(F.sha1(F.col("data").cast("binary")) == F.col("hash"))
-    return hashed.join(numbered.select("hash", "data_id"), "hash").select(*KEY, "data_id"), contents.groupBy("data_id").agg(F.min("data").alias("data"))
+    own = Window.partitionBy("zoom", "column")
+    first = first.withColumn("own", F.row_number().over(own.orderBy("at", "hash"))).withColumn("own_place", F.dense_rank().over(own.orderBy("at")))
+    counts = first.groupBy("zoom", "column").agg(F.count(F.lit(1)).alias("c"), F.max("own_place").cast("long").alias("p"))
+    before = lambda c: F.sum(c).over(Window.orderBy("zoom", "column")) - F.col(c)
+    base = counts.select("zoom", "column", before("c").alias("base"), before("p").alias("base_place"))
+    ids = [(F.col("base") + F.col("own")).alias("data_id"), (F.col("base_place") + F.col("own_place")).alias("place_id")]
+    numbered = first.join(base, ["zoom", "column"]).select("hash", "at.*", *ids)
+    contents = tiles.select(*KEY, "data").join(numbered.select(*KEY, "hash", "data_id"), KEY).where(digest == F.col("hash"))
+    return hashed.join(numbered.select("hash", "data_id", "place_id"), "hash").select(*KEY, "data_id", "place_id"), contents.groupBy("data_id").agg(F.min("data").alias("data"))
 
 
 def joined_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
