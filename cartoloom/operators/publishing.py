@@ -41,13 +41,18 @@ def decided(state: DataFrame) -> DataFrame:
 
 
 def cache_keys(tiles: DataFrame, stamp: str) -> DataFrame:
-    """x, y, key: a hash of a stamp and of the contents (x, y, hash) of a tile and those round it; it changes if they do."""
+    """x, y, key: a hash of a stamp and of the contents (x, y, hash) of a tile and those round it; it changes if they do.
+
+    A place with several contents meets each content round it as often as it has contents, and those of one place stand
+    in the order of their hashes. Null hashes are left out; where there are no others, the key is null.
+    """
     steps = F.sequence(F.lit(-1), F.lit(1))
     sent = tiles.withColumn("dx", F.explode(steps)).withColumn("dy", F.explode(steps))
-    entry = F.struct("dx", "dy", F.concat_ws(":", "dx", "dy", "hash").alias("t"))
+    entry = F.when(F.col("hash").isNotNull(), F.struct("dx", "dy", F.concat_ws(":", "dx", "dy", "hash").alias("t")))
     near = sent.select((F.col("x") - F.col("dx")).alias("x"), (F.col("y") - F.col("dy")).alias("y"), entry.alias("e")).groupBy("x", "y").agg(F.array_sort(F.collect_list("e")).alias("e"))
-    rows = tiles.select("x", "y").distinct().join(near, ["x", "y"])
-    return rows.select("x", "y", F.sha1(F.concat(F.lit(f"{stamp}|"), F.array_join(F.transform("e", lambda v: v["t"]), ","))).alias("key"))
+    rows = tiles.groupBy("x", "y").agg(F.count(F.lit(1)).cast("int").alias("times")).join(near, ["x", "y"])
+    text = F.array_join(F.transform("e", lambda v: F.repeat(F.concat(F.lit(","), v["t"]), F.col("times"))), "")
+    return rows.select("x", "y", F.when(F.size("e") > 0, F.sha1(F.concat(F.lit(f"{stamp}|"), F.substr(text, F.lit(2))))).alias("key"))
 
 
 def usually(seconds: Column) -> Column:

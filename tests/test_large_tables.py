@@ -35,3 +35,10 @@ def test_contents_first_at_one_place_are_kept_apart(spark):
     assert sorted(r.place_id for r in places.collect()) == [1, 1, 1, 2]
     text = {r.data_id: r.data for r in contents.collect()}
     assert sorted(text) == [1, 2, 3] and sorted((r.x, r.y, str(text[r.data_id])) for r in places.collect()) == [(0, 0, "a"), (0, 0, "b"), (1, 0, "a"), (1, 1, "None")]
+
+
+def test_cache_keys_of_crowded_places(spark, crowded):
+    """The SQL leaves the order of several contents of one place open; with theirs by hash, all keys are its own."""
+    sql = plans.ORACLES["cache_keys"]
+    assert "ORDER BY b.x, b.y)" in sql
+    same(spark, crowded, "cache_keys", sql.replace("ORDER BY b.x, b.y)", "ORDER BY b.x, b.y, b.h)"))
