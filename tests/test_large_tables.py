@@ -42,3 +42,20 @@ def test_cache_keys_of_crowded_places(spark, crowded):
     sql = plans.ORACLES["cache_keys"]
     assert "ORDER BY b.x, b.y)" in sql
     same(spark, crowded, "cache_keys", sql.replace("ORDER BY b.x, b.y)", "ORDER BY b.x, b.y, b.h)"))
+
+
+def test_walks_of_areas_take_a_cells_edges_once(spark):
+    """Sources of a cell share its edges; the walks are those of each source alone."""
+    import random
+
+    from cartoloom.operators import networks
+
+    rng = random.Random(5)
+    edge = [(e, rng.randrange(40), rng.randrange(40), float(rng.randrange(1, 30))) for e in range(150)]
+    sources = list(range(0, 40, 3))
+    edges = spark.createDataFrame(edge, "e long, u long, v long, length double")
+    areas = spark.createDataFrame([(0, 0, e[0]) for e in edge], "cell_y int, cell_x int, e long")
+    at = spark.createDataFrame([(s, 0, 0) for s in sources], "source long, cell_y int, cell_x int")
+    got = networks.walks_of_areas(edges, areas, at, 40.0, 90.0, most=4)
+    alone = networks.round_walks(spark.createDataFrame([(s, s, *e) for s in sources for e in edge], "area long, source long, e long, u long, v long, length double"), "area", 40.0, 90.0)
+    assert sorted(map(tuple, got.collect())) == sorted((r.source, r.e, r.metres, r.shared) for r in alone.collect()) != []
