@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +34,11 @@ def jut(height: Column, distance: Column) -> Column:
     return h * h / F.greatest(F.hypot(h, distance), F.lit(1e-9))
 
 
+def jut_of(height: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    """jut of arrays; heights above 0."""
+    return height * height / np.maximum(np.sqrt(height * height + distance * distance), 1e-9)
+
+
 def boost(steepness: Column) -> Column:
     return 1 + F.lit(LIFT) / (1 + F.exp(-F.lit(RATE) * (steepness - MIDDLE)))
 

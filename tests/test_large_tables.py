@@ -80,3 +80,18 @@ def test_counts_within_take_whole_cells(spark, points, monkeypatch):
         near = [t for _, p, q, t in points if (x - p) ** 2 + (y - q) ** 2 <= 62_500]
         want.append((i, len(near), sum(s is not None and t is not None and t > s for t in near)))
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_best_base_without_pairs(spark, points, monkeypatch):
+    from cartoloom.functions import numbers
+    from cartoloom.operators import places
+
+    monkeypatch.setattr(places, "pairs_within", None)  # no table of pairs is made
+    df = spark.createDataFrame([p for p in points if p[3] is not None], "id long, x double, y double, z double")
+    got = {r.a: r.b for r in places.best_base(df, df, 150.0, numbers.jut_of).collect()}
+    want = {}
+    for i, x, y, z in points:
+        near = [((x - p) ** 2 + (y - q) ** 2, z - t, j) for j, p, q, t in points if z is not None and t is not None and z > t and (x - p) ** 2 + (y - q) ** 2 <= 22_500]
+        if near:
+            want[i] = min((-(h * h) / (h * h + d * d) ** 0.5, j) for d, h, j in ((d2**0.5, h, j) for d2, h, j in near))[1]
+    assert got == want
