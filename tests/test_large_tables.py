@@ -61,6 +61,27 @@ def test_walks_of_areas_take_a_cells_edges_once(spark):
     assert sorted(map(tuple, got.collect())) == sorted((r.source, r.e, r.metres, r.shared) for r in alone.collect()) != []
 
 
+@pytest.fixture(scope="module")
+def two_groups(spark):
+    """Two networks with loops, edges side by side and of no length, and nodes out of reach; some flags are unknown."""
+    import random
+
+    rng = random.Random(8)
+    edge = [(g, 7 * g, e, 7 * g + rng.randrange(50), 7 * g + rng.randrange(50), rng.choice([1, 1, 0 if g else 1]) * rng.random() * 30, rng.choice([True, True, True, None]), rng.random() < 0.9) for g in (0, 1) for e in range(120 + 60 * g)]
+    return spark.createDataFrame(edge, "area long, source long, e long, u long, v long, length double, popular boolean, offroad boolean")
+
+
+def test_round_walks_of_large_groups_in_parts(spark, two_groups):
+    from cartoloom.operators import networks
+
+    rows = two_groups.where("length > 0")
+    whole, parts = (sorted(map(tuple, networks.round_walks(rows, "area", 60.0, 130.0, most=most).collect())) for most in (1000, 30))
+    assert whole and whole == parts
+    # equal ways with edges of no length may go by other nodes, but their metres are the same
+    whole, parts = ({(r.area, r.e): r.metres for r in networks.round_walks(two_groups, "area", 60.0, 130.0, 1.0, most=most).collect()} for most in (1000, 30))
+    assert len(whole) == len(parts) and all(whole[k] == parts[k] for k in whole.keys() & parts.keys())
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     """Whole metres, so that points lie at the rim itself and scores are equal; some scores are unknown."""
