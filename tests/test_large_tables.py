@@ -151,3 +151,51 @@ def test_snap_counts_are_those_of_cells(spark, monkeypatch):
     monkeypatch.setattr(networks, "snap_cells", None)
     got = networks.snap_counts(df, 10).collect()
     assert {(r.cell_y, r.cell_x): (r.edges, r.numbers) for r in got} == {k: (len(v), sum(v)) for k, v in want.items()} and len(got) == len(want)
+
+
+def test_shortest_ways_are_those_of_a_search_node_by_node():
+    """Whole metres, so that ways are equal; in every other network some edges have no length."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    from cartoloom.operators import networks
+
+    rng = random.Random(4)
+    for k in range(60):
+        edge = pd.DataFrame([(7 * e, 3 * rng.randrange(40), 3 * rng.randrange(40), float(rng.randrange(1 - k % 2, 9))) for e in range(rng.choice([1, 60, 200]))], columns=["e", "u", "v", "length"])
+        held = networks.Walks(edge)
+        for at, source in enumerate(held.nodes.tolist()):
+            got, want = held.tree(source, 15.0), held._tree(at, 15.0)
+            assert all(np.array_equal(getattr(got, c), getattr(want, c)) for c in ("nodes", "dist"))
+            assert edge["length"].min() == 0 or all(np.array_equal(getattr(got, c), getattr(want, c)) for c in ("before", "step"))
+
+
+def test_edges_with_places_leave_no_shuffles(spark):
+    """The edges of the network, saved in slices; files of their shuffles are gone when they are done."""
+    from cartoloom.operators import networks
+    from cartoloom.plans import networks as plan
+
+    folder = "/root/testdata/sf0.001"
+    nodes = plan.derived(spark, folder, "nodes")
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    before = files()
+    found = networks.placed_edges(plan.derived(spark, folder, "way_nodes"), nodes, 3)
+    assert files() <= before
+    at = {r.ref: (r.lat_e7, r.lon_e7) for r in nodes.collect()}
+    got = sorted((r.way_id, r.edge, r.u, r.v, round(r.length, 6), r.lat_e7, r.lon_e7) for r in found.collect())
+    assert got == sorted((r.way_id, r.edge, r.u, r.v, round(r.length, 6), *at[r.u]) for r in plan._edges(spark, folder).collect()) != []
+
+
+def test_walks_of_groups_send_edges_no_oftener_than_asked(spark):
+    """Many sources of a group share one part when its edges may be sent only once; with more parts walks are the same."""
+    import random
+
+    from cartoloom.operators import networks
+
+    rng = random.Random(6)
+    edge = spark.createDataFrame([(e % 2, e, e % 2 * 100 + rng.randrange(40), e % 2 * 100 + rng.randrange(40), float(rng.randrange(1, 30))) for e in range(300)], "area int, e long, u long, v long, length double")
+    at = spark.createDataFrame([(s // 100, s) for s in (*range(0, 40, 3), *range(100, 140, 3))], "area int, source long")
+    once, often = (sorted(map(tuple, networks.walks_of_groups(edge, at, ["area"], 40.0, 90.0, most=1, sent=sent).collect())) for sent in (1, 10**9))
+    assert once and once == often
