@@ -181,7 +181,7 @@ def test_edges_with_places_leave_no_shuffles(spark):
     nodes = plan.derived(spark, folder, "nodes")
     files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
     before = files()
-    found = networks.placed_edges(plan.derived(spark, folder, "way_nodes"), nodes, 3)
+    found = networks.placed_edges(plan._way_slices(spark, folder, 3), nodes)
     assert files() <= before
     at = {r.ref: (r.lat_e7, r.lon_e7) for r in nodes.collect()}
     got = sorted((r.way_id, r.edge, r.u, r.v, round(r.length, 6), r.lat_e7, r.lon_e7) for r in found.collect())
